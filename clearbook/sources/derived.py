@@ -14,6 +14,7 @@ shuffling them again. The window and settlement tables have a few rows per month
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from clearbook.session import run_folder
 from clearbook.sources.quote_facts import quote_facts
+from clearbook.sources.reference_data import ZONE_NAMES
 from clearbook.sources.schemas import LEDGER_COLUMNS
 
 # Currency of each region, in region order.
@@ -34,11 +36,11 @@ FEWEST_BUCKETS, MOST_BUCKETS = 8, 32768
 
 
 def _currency(zone: str) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in ZONE_CURRENCIES]), F.col(zone) + 1)
+    return F.get(F.array(*[F.lit(c) for c in ZONE_CURRENCIES]), F.col(zone))
 
 
 def _seconds(count: int) -> Column:
-    return F.make_dt_interval(secs=F.lit(count))
+    return F.lit(timedelta(seconds=count))
 
 
 def payment_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,3 +443,38 @@ def derived_ledger(spark: SparkSession, sf_dir: str) -> DerivedLedger:
     if key not in _LEDGERS:
         _LEDGERS[key] = DerivedLedger(spark, sf_dir)
     return _LEDGERS[key]
+
+
+def rate_validity(ledger: DerivedLedger) -> DataFrame:
+    """One rate per currency pair and month: the month's rate of the pair."""
+    rates = [
+        F.struct(
+            (F.col("w") * 25 + s * 5 + d).alias("rateId"),
+            F.lit(ZONE_CURRENCIES[s]).alias("sourceCurrency"),
+            F.lit(ZONE_CURRENCIES[d]).alias("targetCurrency"),
+            (F.lit((s + 1) * 1250 + d * 375) + F.col("w") % 7).alias("rate"),
+            F.lit(3).alias("decimals"),
+        )
+        for s, d in _zone_pairs()
+    ]
+    return ledger.windows.select(
+        F.inline(F.array(*rates)),
+        F.col("m").alias("validFrom"),
+        (F.col("m") + F.make_ym_interval(months=F.lit(1))).alias("validTo"),
+    )
+
+
+def registry_documents(ledger: DerivedLedger) -> DataFrame:
+    """One registry document per participant, with its currency and monetary zone."""
+    names = F.create_map(*[F.lit(x) for item in ZONE_NAMES.items() for x in item])
+    virtual = F.col("participantId") >= 100
+    listed = F.struct(F.col("name").alias("dfspId"), F.col("currencyId").alias("description"), "currencyId")
+    owners = ledger["participantCurrency"].join(ledger["participant"], "participantId")
+    return owners.select(
+        F.array(F.struct("currencyId")).alias("currencies"),
+        F.array(
+            F.struct(F.col("currencyId").alias("monetaryZoneId"), names[F.col("currencyId")].alias("name"))
+        ).alias("monetaryZones"),
+        F.when(virtual, F.array(listed)).alias("vdfsps"),
+        F.when(~virtual, F.array(listed)).alias("dfsps"),
+    )

@@ -25,7 +25,7 @@ FIRST_NAME, LAST_NAME, BIRTH_DATE = "Ada", "Example", "1990-01-01"
 
 
 def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
+    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
 def quote_facts(legs: DataFrame) -> DataFrame:
