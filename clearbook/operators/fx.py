@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clearbook.functions.fx import decoded_rate, rounding_difference
 from clearbook.functions.text import float_text, or_null_word
+from clearbook.operators.joins import lookup
 from clearbook.sources.reference_data import RATE_FREEZE_SECONDS, registry_list
 
 Tables = Mapping[str, DataFrame]
@@ -21,7 +22,7 @@ ANY_IDENTIFIER = "^.{1,32}$"
 
 def with_fx_provider(df: DataFrame, providers: DataFrame, currency: str = "currencyId") -> DataFrame:
     """Add ``dfsp``, the virtual participant that exchanges the row's currency."""
-    return df.join(providers.withColumnRenamed("currency", currency), currency, "left")
+    return df.join(lookup(providers.withColumnRenamed("currency", currency)), currency, "left")
 
 
 def dfsp_registry(documents: DataFrame) -> DataFrame:
@@ -34,8 +35,8 @@ def dfsp_registry(documents: DataFrame) -> DataFrame:
     known = registry_list(documents, "currencies").distinct()
     return (
         listed.unionByName(virtual)
-        .join(known, "currencyId")
-        .join(zones.distinct(), "currencyId", "left")
+        .join(lookup(known), "currencyId")
+        .join(lookup(zones.distinct()), "currencyId", "left")
         .select("dfspId", "currencyId", "zoneName", "isVirtual")
     )
 
@@ -115,7 +116,7 @@ def converted_quotes(ledger: Tables) -> DataFrame:
         ledger["fxTransaction"]
         .select("transferAId", F.col("fxQuoteAId").alias("quoteId"), "exchangeRateId")
         .join(ledger["quoteResponse"], "quoteId")
-        .join(rates, "exchangeRateId", "left")
+        .join(lookup(rates), "exchangeRateId", "left")
         .select(
             "transferAId",
             or_null_word(float_text(F.col("forex"))).alias("forexRate"),

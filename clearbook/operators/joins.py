@@ -6,6 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Estimated size up to which a look-up table is sent to every executor.
+LOOKUP_BYTES = 8 << 20
+
+
+def lookup(df: DataFrame) -> DataFrame:
+    """A look-up table, to be broadcast if its estimated size is small.
+
+    The size comes from the plan (file sizes for stored tables) without running
+    a job. A larger table, or one of unknown size, is joined as Spark sees fit.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(size)) <= LOOKUP_BYTES else df
+
+
 def left_join_if_present(
     df: DataFrame, other: DataFrame, key: str, other_key: str | None = None, spread: str = "transferId"
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.functions.text import iso_millis, or_null_word, when_settled
-from clearbook.operators.joins import left_join_if_present
+from clearbook.operators.joins import left_join_if_present, lookup
 from clearbook.operators.transfers import PAYER_ROLE
 
 Tables = Mapping[str, DataFrame]
@@ -28,9 +28,9 @@ def with_settlement(df: DataFrame, ledger: Tables) -> DataFrame:
     states = ledger["settlementStateChange"].select(
         "settlementStateChangeId", "settlementStateId", F.col("createdDate").alias("settledAt")
     )
-    df = left_join_if_present(df, in_settlement, "settlementWindowId")
-    df = left_join_if_present(df, current, "settlementId")
-    df = left_join_if_present(df, states, "settlementStateChangeId")
+    df = left_join_if_present(df, lookup(in_settlement), "settlementWindowId")
+    df = left_join_if_present(df, lookup(current), "settlementId")
+    df = left_join_if_present(df, lookup(states), "settlementStateChangeId")
     return df.drop("settlementId", "settlementStateChangeId")
 
 
@@ -65,7 +65,7 @@ def net_positions(ledger: Tables) -> DataFrame:
         ledger["transferFulfilment"]
         .where(F.col("settlementWindowId").isNotNull())
         .join(ledger["transferParticipant"], "transferId")
-        .join(roles, "transferParticipantRoleTypeId")
+        .join(lookup(roles), "transferParticipantRoleTypeId")
         .groupBy("participantCurrencyId", "settlementWindowId")
         .agg(
             F.sum(F.when(F.col("pays"), F.col("amount")).otherwise(0)).alias("debit"),
@@ -73,8 +73,8 @@ def net_positions(ledger: Tables) -> DataFrame:
         )
     )
     return (
-        per_account.join(ledger["participantCurrency"], "participantCurrencyId")
-        .join(ledger["participant"], "participantId")
+        per_account.join(lookup(ledger["participantCurrency"]), "participantCurrencyId")
+        .join(lookup(ledger["participant"]), "participantId")
         .groupBy("participantId", "name", "currencyId", "settlementWindowId")
         .agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))
         .withColumn("netPosition", F.col("credit") - F.col("debit"))

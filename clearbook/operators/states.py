@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clearbook.operators.joins import lookup
+
 Tables = Mapping[str, DataFrame]
 
 # The states the reports show.
@@ -33,7 +35,7 @@ def latest_transfer_state(ledger: Tables) -> DataFrame:
 def reported_transfer_state(ledger: Tables) -> DataFrame:
     """Latest state per transfer, where that state is one the reports show."""
     shown = ledger["transferState"].where(F.col("enumeration").isin(REPORTED_STATES))
-    return latest_transfer_state(ledger).join(shown, "transferStateId")
+    return latest_transfer_state(ledger).join(lookup(shown), "transferStateId")
 
 
 def leg_a_states(core: DataFrame, ledger: Tables) -> DataFrame:
@@ -61,4 +63,4 @@ def window_state_pairs(ledger: Tables, closed: str = "inner") -> DataFrame:
             "settlementWindowId", F.col("createdDate").alias(name)
         )
 
-    return times("OPEN", "windowOpen").join(times("CLOSED", "windowClose"), "settlementWindowId", closed)
+    return times("OPEN", "windowOpen").join(lookup(times("CLOSED", "windowClose")), "settlementWindowId", closed)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.functions.text import iso_millis, or_null_word
-from clearbook.operators.joins import left_join_if_present
+from clearbook.operators.joins import left_join_if_present, lookup
 
 Tables = Mapping[str, DataFrame]
 
@@ -30,11 +30,8 @@ def counterparty_pairs(ledger: Tables, within: DataFrame | None = None) -> DataF
     interest; its columns are kept, and both sides are looked up for them only.
     """
     lines = ledger["transferParticipant"]
-    payer_role = (
-        ledger["transferParticipantRoleType"]
-        .where(F.col("name") == PAYER_ROLE)
-        .select("transferParticipantRoleTypeId")
-    )
+    roles = ledger["transferParticipantRoleType"].where(F.col("name") == PAYER_ROLE)
+    payer_role = lookup(roles.select("transferParticipantRoleTypeId"))
     payer = lines.join(payer_role, "transferParticipantRoleTypeId").select(
         "transferId",
         F.col("transferParticipantId").alias("payerLineId"),
@@ -60,7 +57,7 @@ def with_account_owner(df: DataFrame, ledger: Tables, side: str) -> DataFrame:
     owners = ledger["participant"].select(
         F.col("participantId").alias(f"{side}Id"), F.col("name").alias(f"{side}Name")
     )
-    return df.join(accounts, f"{side}AccountId").join(owners, f"{side}Id")
+    return df.join(lookup(accounts), f"{side}AccountId").join(lookup(owners), f"{side}Id")
 
 
 def named_pairs(ledger: Tables, within: DataFrame | None = None) -> DataFrame:
@@ -84,7 +81,7 @@ def quotes_between(ledger: Tables, start: Column | None, end: Column | None) ->
     if start is not None:
         quote = quote.where(F.col("createdDate").between(start, end))
     scenario = ledger["transactionScenario"].select("transactionScenarioId", F.col("name").alias("scenario"))
-    return quote.join(scenario, "transactionScenarioId").select(
+    return quote.join(lookup(scenario), "transactionScenarioId").select(
         "quoteId",
         F.col("createdDate").alias("quotedAt"),
         transaction_type(F.col("scenario")).alias("transactionType"),
@@ -97,7 +94,7 @@ def quote_side(ledger: Tables, party: str, side: str) -> DataFrame:
     kind = ledger["partyType"].where(F.col("name") == party).select("partyTypeId")
     return (
         ledger["quoteParty"]
-        .join(kind, "partyTypeId")
+        .join(lookup(kind), "partyTypeId")
         .select(
             "quoteId",
             F.col("fspId").alias(f"{side}Fsp"),

@@ -19,7 +19,7 @@ from clearbook.functions.text import (
     report_time,
     when_settled,
 )
-from clearbook.operators.joins import left_join_if_present
+from clearbook.operators.joins import left_join_if_present, lookup
 from clearbook.operators.settlement import settlement_details, with_settlement
 from clearbook.operators.states import latest_transfer_state, reported_transfer_state, window_state_pairs
 from clearbook.operators.transfers import (
@@ -45,7 +45,7 @@ def fx_amounts(core: DataFrame, ledger: Tables) -> DataFrame:
     priced = core.withColumn("pricedQuoteId", F.coalesce("legAQuoteAId", "legBQuoteAId", "quoteId"))
     df = priced.join(responses, "pricedQuoteId", "left")
     for table in (rates, rate_sets):
-        df = left_join_if_present(df, table, "exchangeRateId", spread="currentHubTransferID")
+        df = left_join_if_present(df, lookup(table), "exchangeRateId", spread="currentHubTransferID")
     return df
 
 
@@ -193,7 +193,7 @@ def settlement_window_summary(ledger: Tables) -> DataFrame:
         ledger["transferFulfilment"]
         .where(F.col("settlementWindowId").isNotNull())
         .join(ledger["transferParticipant"].drop("amount"), "transferId")
-        .join(roles, "transferParticipantRoleTypeId")
+        .join(lookup(roles), "transferParticipantRoleTypeId")
         .join(references, "transferId", "left")
         # A transfer without a quote matches no party; its own id spreads such rows.
         .withColumn("lineQuoteId", F.coalesce("quoteId", "transferId"))
@@ -208,8 +208,8 @@ def settlement_window_summary(ledger: Tables) -> DataFrame:
         "settlementWindowStateChangeId", F.col("settlementWindowStateId").alias("state")
     )
     return (
-        sums.join(current, "settlementWindowId")
-        .join(states, "settlementWindowStateChangeId")
+        sums.join(lookup(current), "settlementWindowId")
+        .join(lookup(states), "settlementWindowStateChangeId")
         .join(window_state_pairs(ledger, closed="left"), "settlementWindowId")
         .select(
             "fspId", "settlementWindowId", "state", "numTransactions", "netPosition", "windowOpen", "windowClose"
@@ -244,8 +244,8 @@ def _reconciliation_rows(
         quotes_between(ledger, parsed_report_time(start), parsed_report_time(end))
         .join(_quote_parties_by_type(ledger, 1, "payer"), "quoteId")
         .join(_quote_parties_by_type(ledger, 2, "payee"), "quoteId")
-        .join(owner("payer"), "payerId")
-        .join(owner("payee"), "payeeId")
+        .join(lookup(owner("payer")), "payerId")
+        .join(lookup(owner("payee")), "payeeId")
     )
     if fsp_id is not None:
         quoted = quoted.where((F.col("payerName") == fsp_id) | (F.col("payeeName") == fsp_id))
@@ -317,22 +317,18 @@ def hub_transactions_legacy(ledger: Tables, start: str, end: str) -> DataFrame:
 
 def reconciliation_amounts(ledger: Tables, participant_id: int, settlement_window_id: int) -> DataFrame:
     """What one participant sent to and received from each other in a closed window."""
-    in_window = (
-        ledger["transferFulfilment"].where(F.col("settlementWindowId") == settlement_window_id).select("transferId")
-    )
-    window = ledger["settlementWindow"].where(F.col("settlementWindowId") == settlement_window_id)
-    times = window_state_pairs(ledger).join(window.select("settlementWindowId"), "settlementWindowId")
+    in_window = ledger["transferFulfilment"].where(F.col("settlementWindowId") == settlement_window_id)
+    times = ledger["settlementWindow"].select("settlementWindowId").join(window_state_pairs(ledger), "settlementWindowId")
     pairs = named_pairs(ledger, within=in_window).where(
         (F.col("payerId") == participant_id) | (F.col("payeeId") == participant_id)
     )
     by = ["payerId", "payerName", "payeeId", "payeeName", "payerCurrency"]
-    totals = pairs.groupBy(*by).agg(
+    totals = pairs.groupBy(*by, "settlementWindowId").agg(
         F.count("transferId").alias("numTransactions"), F.sum("payerAmount").alias("total")
     )
     # Every OPEN and CLOSED row of the window counts; equal times share one row.
     merged = (
-        totals.withColumn("settlementWindowId", F.lit(settlement_window_id).cast("bigint"))
-        .join(times, "settlementWindowId")
+        totals.join(times, "settlementWindowId")
         .groupBy(*by, "windowOpen", "windowClose")
         .agg(F.sum("numTransactions").alias("numTransactions"), F.sum("total").alias("total"))
     )

@@ -31,8 +31,8 @@ ZONE_CURRENCIES = ["XOF", "XTS", "XXX", "EUR", "MAD"]
 # Last settlement window that is still open, as year * 12 + month.
 OPEN_WINDOW = 2001 * 12 + 6
 
-BYTES_PER_BUCKET = 4 << 30
-FEWEST_BUCKETS, MOST_BUCKETS = 8, 32768
+BYTES_PER_BUCKET = 2 << 30
+FEWEST_BUCKETS, MOST_BUCKETS = 8, 100_000
 
 
 def _currency(zone: str) -> Column:
