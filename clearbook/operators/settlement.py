@@ -34,10 +34,16 @@ def with_settlement(df: DataFrame, ledger: Tables) -> DataFrame:
     return df.drop("settlementId", "settlementStateChangeId")
 
 
-def settlement_details(ledger: Tables) -> DataFrame:
-    """Window and settlement state of each fulfilled transfer, as text."""
+def settlement_details(ledger: Tables, of: DataFrame | None = None) -> DataFrame:
+    """Window and settlement state of each fulfilled transfer, as text.
+
+    ``of`` restricts the transfers by ``transferId``.
+    """
     settled_at = iso_millis(F.col("settledAt"))
-    return with_settlement(ledger["transferFulfilment"], ledger).select(
+    fulfilled = ledger["transferFulfilment"]
+    if of is not None:
+        fulfilled = fulfilled.join(lookup(of.select("transferId")), "transferId", "left_semi")
+    return with_settlement(fulfilled, ledger).select(
         "transferId",
         or_null_word(when_settled(F.col("settlementStateId"), settled_at)).alias("settlementDate"),
         or_null_word(F.col("settlementWindowId")).alias("settlementWindowId"),
@@ -49,7 +55,7 @@ def settlement_details(ledger: Tables) -> DataFrame:
 def leg_settlements(core: DataFrame, ledger: Tables, leg: str) -> DataFrame:
     """Settlement details of the core's transfers on one leg, ``"A"`` or ``"B"``."""
     wanted = core.select(F.col(f"leg{leg}TransferId").alias("transferId")).where(F.col("transferId").isNotNull())
-    return settlement_details(ledger).join(wanted, "transferId", "left_semi")
+    return settlement_details(ledger, of=wanted)
 
 
 def net_positions(ledger: Tables) -> DataFrame:

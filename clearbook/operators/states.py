@@ -25,29 +25,42 @@ def latest_by(changes: DataFrame, entity: str, order: str, values: list[str]) ->
     return changes.groupBy(entity).agg(latest).select(entity, "latest.*")
 
 
-def latest_transfer_state(ledger: Tables) -> DataFrame:
-    """Latest state change per transfer, whatever the state."""
-    return latest_by(
-        ledger["transferStateChange"], "transferId", "transferStateChangeId", ["transferStateId", "createdDate"]
-    )
+def latest_transfer_state(ledger: Tables, of: DataFrame | None = None) -> DataFrame:
+    """Latest state change per transfer, whatever the state.
+
+    ``of`` restricts the transfers by ``transferId``. That comes before the
+    grouping, so the changes of all other transfers are only read.
+    """
+    changes = ledger["transferStateChange"]
+    if of is not None:
+        changes = changes.join(lookup(of.select("transferId")), "transferId", "left_semi")
+    return latest_by(changes, "transferId", "transferStateChangeId", ["transferStateId", "createdDate"])
 
 
-def reported_transfer_state(ledger: Tables) -> DataFrame:
+def reported_transfer_state(ledger: Tables, of: DataFrame | None = None) -> DataFrame:
     """Latest state per transfer, where that state is one the reports show."""
     shown = ledger["transferState"].where(F.col("enumeration").isin(REPORTED_STATES))
-    return latest_transfer_state(ledger).join(lookup(shown), "transferStateId")
+    return latest_transfer_state(ledger, of).join(lookup(shown), "transferStateId")
+
+
+def leg_a_ids(core: DataFrame) -> DataFrame:
+    """The core's leg-A transfers, or the transfer itself where there is no leg A."""
+    return core.select(F.coalesce("legATransferId", "currentHubTransferID").alias("transferId"))
+
+
+def leg_b_ids(core: DataFrame) -> DataFrame:
+    """The core's leg-B transfers."""
+    return core.where(F.col("legBTransferId").isNotNull()).select(F.col("legBTransferId").alias("transferId"))
 
 
 def leg_a_states(core: DataFrame, ledger: Tables) -> DataFrame:
     """Reported states of the core's leg-A transfers, or of the transfer itself without a leg A."""
-    wanted = core.select(F.coalesce("legATransferId", "currentHubTransferID").alias("transferId"))
-    return reported_transfer_state(ledger).join(wanted, "transferId", "left_semi")
+    return reported_transfer_state(ledger, of=leg_a_ids(core))
 
 
 def leg_b_states(core: DataFrame, ledger: Tables) -> DataFrame:
     """Reported states of the core's leg-B transfers."""
-    wanted = core.where(F.col("legBTransferId").isNotNull()).select(F.col("legBTransferId").alias("transferId"))
-    return reported_transfer_state(ledger).join(wanted, "transferId", "left_semi")
+    return reported_transfer_state(ledger, of=leg_b_ids(core))
 
 
 def window_state_pairs(ledger: Tables, closed: str = "inner") -> DataFrame:

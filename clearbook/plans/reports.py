@@ -1,4 +1,4 @@
-"""The reports. Each takes the ledger's tables and returns one lazy DataFrame."""
+"""The reports. Each takes the ledger's tables and returns a DataFrame."""
 
 from __future__ import annotations
 
@@ -21,7 +21,13 @@ from clearbook.functions.text import (
 )
 from clearbook.operators.joins import left_join_if_present, lookup
 from clearbook.operators.settlement import settlement_details, with_settlement
-from clearbook.operators.states import latest_transfer_state, reported_transfer_state, window_state_pairs
+from clearbook.operators.states import (
+    latest_transfer_state,
+    leg_a_ids,
+    leg_b_ids,
+    reported_transfer_state,
+    window_state_pairs,
+)
 from clearbook.operators.transfers import (
     dfsp_transfer_core,
     exchange_as_first_leg,
@@ -31,6 +37,7 @@ from clearbook.operators.transfers import (
     quoted_transfers,
     quotes_between,
 )
+from clearbook.sources.sinks import staged
 
 Tables = Mapping[str, DataFrame]
 
@@ -50,36 +57,37 @@ def fx_amounts(core: DataFrame, ledger: Tables) -> DataFrame:
 
 
 def _with_legs(core: DataFrame, ledger: Tables) -> DataFrame:
-    """Add state and settlement of both legs; columns are prefixed ``a`` and ``b``.
+    """Add state and settlement of both legs; columns are prefixed ``a_`` and ``b_``.
 
     Leg A falls back to the transfer itself for the state but not for the
     settlement. Both look-ups of a leg share one key, hence one shuffle.
     """
-    states, settlements = reported_transfer_state(ledger), settlement_details(ledger)
-
-    def named(df: DataFrame, leg: str) -> DataFrame:
-        return df.select(*[F.col(c).alias("key" if c == "transferId" else f"{leg}_{c}") for c in df.columns])
-
-    def state_of(leg: str) -> DataFrame:
-        return named(states.select("transferId", "enumeration", "createdDate"), leg)
 
-    def settlement_of(leg: str) -> DataFrame:
-        return named(settlements, leg)
+    def look_up(df: DataFrame, found: DataFrame, leg: str, only_if: Column | None = None) -> DataFrame:
+        on = F.col("legKey") == F.col("foundKey")
+        columns = [F.col(c).alias("foundKey" if c == "transferId" else f"{leg}_{c}") for c in found.columns]
+        return df.join(found.select(*columns), on if only_if is None else on & only_if, "left").drop("foundKey")
 
-    def look_up(df: DataFrame, other: DataFrame, only_if: Column | None = None) -> DataFrame:
-        other = other.withColumnRenamed("key", "otherKey")
-        on = F.col("legKey") == F.col("otherKey")
-        return df.join(other, on if only_if is None else on & only_if, "left").drop("otherKey")
+    def states(ids: DataFrame) -> DataFrame:
+        return reported_transfer_state(ledger, of=ids).select("transferId", "enumeration", "createdDate")
 
     has_a, has_b = F.col("legATransferId").isNotNull(), F.col("legBTransferId").isNotNull()
+    ids_a, ids_b = leg_a_ids(core), leg_b_ids(core)
     df = core.withColumn("legKey", F.coalesce("legATransferId", "currentHubTransferID"))
-    df = look_up(look_up(df, state_of("a")), settlement_of("a"), has_a)
+    df = look_up(df, states(ids_a), "a")
+    df = look_up(df, settlement_details(ledger, of=ids_a), "a", has_a)
     df = df.withColumn("legKey", F.coalesce("legBTransferId", "currentHubTransferID"))
-    return look_up(look_up(df, state_of("b"), has_b), settlement_of("b"), has_b).drop("legKey")
+    df = look_up(df, states(ids_b), "b", has_b)
+    return look_up(df, settlement_details(ledger, of=ids_b), "b", has_b).drop("legKey")
 
 
 def _assembled(core: DataFrame, ledger: Tables) -> DataFrame:
-    return _with_legs(fx_amounts(core, ledger), ledger)
+    """The core with amounts, states and settlements.
+
+    The priced core is staged: its transfers are what the states and
+    settlements are looked up for, by broadcast as long as they are few.
+    """
+    return _with_legs(staged(fx_amounts(core, ledger), "core"), ledger)
 
 
 def _money_columns() -> list[Column]:

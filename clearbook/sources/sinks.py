@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from clearbook.session import run_folder
+
 
 def write_csv(report: DataFrame, path: str) -> None:
     """A report as CSV files with a header, written in parallel."""
     report.write.mode("errorifexists").option("header", True).csv(path)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    For an intermediate result that several joins use: it is computed once, its
+    real size is known to the plans that follow, and a lost executor costs no
+    more than the tasks that read it.
+    """
+    path = f"{run_folder(df.sparkSession, 'staged')}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
