@@ -156,7 +156,8 @@ def load_rules(spark: SparkSession, path: str) -> list[dict]:
 
 _FILTERED = re.compile(r"^\$\.(?P<array>[\w.-]+)\[\?\((?P<tests>.+)\)\]\.(?P<field>[\w-]+)$")
 _TEST = re.compile(r"^\s*@\.(?P<field>[\w-]+)\s*==\s*(?P<value>'[^']*'|[\d.]+)\s*$")
-_TYPE_CHECKS = {"isArray": "ARRAY", "isObject": "OBJECT", "isString": "STRING"}
+TYPE_CHECKS = ("isArray", "isObject", "isString")
+_CONTAINERS = {"isArray": "array<variant>", "isObject": "map<string,variant>"}
 
 
 def _variant_path(path: str) -> str:
@@ -169,11 +170,9 @@ def is_list_path(path: str) -> bool:
     return _FILTERED.match(path) is not None
 
 
-def path_value(fact: Column, path: str) -> Column:
-    """The value at a path: a VARIANT, or an array of strings for a filtered array path."""
+def _items(fact: Column, path: str) -> tuple[Column, str]:
+    """The elements that pass the filter of a path, and the path of the field it selects."""
     filtered = _FILTERED.match(path)
-    if not filtered:
-        return F.try_variant_get(fact, _variant_path(path), "variant")
     tests = []
     for text in filtered["tests"].split("&&"):
         test = _TEST.match(text)
@@ -192,79 +191,92 @@ def path_value(fact: Column, path: str) -> Column:
         return reduce(and_, checks)
 
     items = F.try_variant_get(fact, _variant_path(f"$.{filtered['array']}"), "array<variant>")
-    field = _variant_path(f"$.{filtered['field']}")
-    return F.transform(F.filter(items, passes), lambda item: F.try_variant_get(item, field, "string"))
+    return F.filter(items, passes), _variant_path(f"$.{filtered['field']}")
 
 
-def _paths(node: Any) -> set[Fact]:
-    """Every (fact, path) a condition tree reads."""
+def listed_strings(fact: Column, path: str) -> Column:
+    """The strings a filtered array path selects, NULL without the array."""
+    items, field = _items(fact, path)
+    return F.transform(items, lambda item: F.try_variant_get(item, field, "string"))
+
+
+def json_value(fact: Column, path: str) -> Column:
+    """The value at a path as JSON text, which keeps its type: ``"5"`` differs from ``5``.
+
+    A filtered array path gives an array of such texts.
+    """
+    if is_list_path(path):
+        items, field = _items(fact, path)
+        return F.transform(items, lambda item: F.to_json(F.try_variant_get(item, field, "variant")))
+    return F.to_json(F.try_variant_get(fact, _variant_path(path), "variant"))
+
+
+def has_type(fact: Column, path: str, check: str) -> Column:
+    """Whether the value at a path is an array, an object or a string; absent values are none."""
+    if check == "isString":
+        return _never_null(json_value(fact, path).startswith('"'))
+    return F.try_variant_get(fact, _variant_path(path), _CONTAINERS[check]).isNotNull()
+
+
+def _reads(node: Any) -> set[tuple[str, str, str]]:
+    """Every (fact, path, use) of a condition tree; the use is a type check or ``value``."""
     if isinstance(node, list):
-        return set().union(*map(_paths, node)) if node else set()
+        return set().union(*map(_reads, node)) if node else set()
     if not isinstance(node, dict):
         return set()
-    own = {(node["fact"], node["path"])} if "fact" in node else set()
-    return own.union(*map(_paths, node.values()))
+    operator = node.get("operator")
+    use = operator if operator in TYPE_CHECKS else "value"
+    own = {(node["fact"], node["path"], use)} if "fact" in node else set()
+    return own.union(*map(_reads, node.values()))
 
 
 class _Values:
-    """Names of the columns that hold the value of each path."""
+    """Columns that hold what the conditions read, each computed once per quote."""
 
     def __init__(self, rules: list[dict]):
-        paths = sorted(_paths([r["conditions"] for r in rules]))
-        self.names = {p: f"_v{n}" for n, p in enumerate(paths)}
+        self.names = {read: f"_v{n}" for n, read in enumerate(sorted(_reads([r["conditions"] for r in rules])))}
 
     def columns(self) -> list[Column]:
-        """For a list path its strings; otherwise the value's text and its type."""
-        columns = []
-        for (fact, path), name in self.names.items():
-            value = path_value(F.col(f"_{fact}"), path)
-            if is_list_path(path):
-                columns.append(value.alias(name))
-            else:
-                columns.append(F.try_variant_get(value, "$", "string").alias(name))
-                kind = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-                columns.append(kind.alias(f"{name}_type"))
-        return columns
-
-    def value(self, fact: str, path: str) -> Column:
-        return F.col(self.names[fact, path])
-
-    def type(self, fact: str, path: str) -> Column:
-        return F.col(f"{self.names[fact, path]}_type")
-
-
-def _equals(values: _Values, fact: str, path: str, expected: Any) -> Column:
-    value = values.value(fact, path)
-    if is_list_path(path):
-        # A list equals a value if that is its only element.
-        return (F.size(value) == 1) & (F.get(value, F.lit(0)) == expected)
-    if isinstance(expected, str):
-        return (values.type(fact, path) == "STRING") & (value == expected)
-    if isinstance(expected, bool):
-        return (values.type(fact, path) == "BOOLEAN") & (value == str(expected).lower())
-    number = values.type(fact, path).isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
-    return number & (value.try_cast("double") == float(expected))
+        return [
+            (json_value(F.col(f"_{fact}"), path) if use == "value" else has_type(F.col(f"_{fact}"), path, use)).alias(name)
+            for (fact, path, use), name in self.names.items()
+        ]
+
+    def column(self, fact: str, path: str, use: str = "value") -> Column:
+        return F.col(self.names[fact, path, use])
 
 
 def _never_null(test: Column) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
+def _equals(value: Column, path: str, expected: Any) -> Column:
+    if is_list_path(path):
+        # A list equals a value if that is its only element.
+        return (F.size(value) == 1) & _equals(F.get(value, F.lit(0)), "", expected)
+    if isinstance(expected, (int, float)) and not isinstance(expected, bool):
+        return value.try_cast("double") == float(expected)
+    return value == json.dumps(expected, ensure_ascii=False)
+
+
 def _holds(values: _Values, node: dict) -> Column:
     if "all" in node:
         return reduce(and_, [_holds(values, n) for n in node["all"]])
     if "any" in node:
         return reduce(or_, [_holds(values, n) for n in node["any"]])
     fact, path, operator, expected = node["fact"], node["path"], node["operator"], node["value"]
-    other = (expected["fact"], expected["path"]) if isinstance(expected, dict) else None
-    if operator in _TYPE_CHECKS:
-        return _never_null(values.type(fact, path) == _TYPE_CHECKS[operator]) == F.lit(expected)
-    value = values.value(fact, path)
+    if operator in TYPE_CHECKS:
+        return values.column(fact, path, operator) == F.lit(expected)
+    value = values.column(fact, path)
+    other = values.column(expected["fact"], expected["path"]) if isinstance(expected, dict) else None
     if operator in ("equal", "notEqual"):
-        same = value.eqNullSafe(values.value(*other)) if other else _never_null(_equals(values, fact, path, expected))
+        same = _never_null(_equals(value, path, expected)) if other is None else value.eqNullSafe(other)
         return same if operator == "equal" else ~same
     if operator in ("in", "notIn"):
-        found = F.array_contains(values.value(*other), value) if other else value.isin(expected)
+        if other is None:
+            found = reduce(or_, [_equals(value, path, e) for e in expected], F.lit(False))
+        else:
+            found = F.array_contains(other, value)
         return _never_null(found) if operator == "in" else ~_never_null(found)
     raise ValueError(f"unknown operator {operator!r}")
 
@@ -292,6 +304,7 @@ def quote_events(facts: DataFrame, rules: list[dict] | None = None, wanted: str
         )
 
     events = F.array_compact(F.array(*[event(n, r) for n, r in numbered]))
+    # Exploded in place: given a name first, Spark would evaluate the values once per rule.
     return read.select("quoteId", F.inline(events))
 
 
@@ -318,7 +331,7 @@ def position_currency_lists(facts: DataFrame) -> DataFrame:
     return facts.select(
         "quoteId",
         *[
-            path_value(F.try_parse_json(side), POSITION_CURRENCIES).alias(f"{side}Currencies")
+            listed_strings(F.try_parse_json(side), POSITION_CURRENCIES).alias(f"{side}Currencies")
             for side in ("payer", "payee")
         ],
     )
@@ -355,8 +368,8 @@ def intercepts_by_account(facts: DataFrame) -> DataFrame:
     quotes = facts.select(
         "quoteId",
         F.try_variant_get(F.try_parse_json("headers"), _variant_path(SOURCE[1]), "string").alias("source"),
-        only(path_value(F.try_parse_json("payer"), POSITION_CURRENCIES)).alias("sourceCurrency"),
-        only(path_value(F.try_parse_json("payee"), POSITION_CURRENCIES)).alias("rerouteToFspCurrency"),
+        only(listed_strings(F.try_parse_json("payer"), POSITION_CURRENCIES)).alias("sourceCurrency"),
+        only(listed_strings(F.try_parse_json("payee"), POSITION_CURRENCIES)).alias("rerouteToFspCurrency"),
     )
     allowed = ~_never_null(F.array_contains(F.split("barred", "[|]"), F.col("source")))
     return (
@@ -393,16 +406,15 @@ def fact_types(facts: DataFrame) -> DataFrame:
     """Whether the parts of a quote that the rules check have the type they need."""
     info = "$.payer.personalInfo"
 
-    def has(fact: str, path: str, kind: str) -> Column:
-        value = F.try_variant_get(F.try_parse_json(fact), _variant_path(path), "variant")
-        return _never_null(F.schema_of_variant(value).startswith(kind))
+    def has(fact: str, path: str, check: str) -> Column:
+        return has_type(F.try_parse_json(fact), path, check)
 
     return facts.select(
         "quoteId",
-        has("payer", "$.accounts", "ARRAY").alias("payerAccountsIsArray"),
-        has("payee", "$.accounts", "ARRAY").alias("payeeAccountsIsArray"),
-        has("payload", info, "OBJECT").alias("personalInfoIsObject"),
-        has("payload", f"{info}.complexName.firstName", "STRING").alias("firstNameIsString"),
-        has("payload", f"{info}.complexName.lastName", "STRING").alias("lastNameIsString"),
-        has("payload", f"{info}.dateOfBirth", "STRING").alias("dateOfBirthIsString"),
+        has("payer", "$.accounts", "isArray").alias("payerAccountsIsArray"),
+        has("payee", "$.accounts", "isArray").alias("payeeAccountsIsArray"),
+        has("payload", info, "isObject").alias("personalInfoIsObject"),
+        has("payload", f"{info}.complexName.firstName", "isString").alias("firstNameIsString"),
+        has("payload", f"{info}.complexName.lastName", "isString").alias("lastNameIsString"),
+        has("payload", f"{info}.dateOfBirth", "isString").alias("dateOfBirthIsString"),
     )

@@ -14,12 +14,14 @@ reports merge them without shuffling or sorting them again. The window and settl
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clearbook.operators.joins import lookup
 from clearbook.session import run_folder
 from clearbook.sources.quote_facts import quote_facts
 from clearbook.sources.reference_data import ZONE_NAMES
@@ -57,8 +59,10 @@ def payment_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read("nation")
 
     def located(key: str, zone: str, name: str) -> DataFrame:
-        return nation.select(
-            F.col("n_nationkey").alias(key), F.col("n_regionkey").alias(zone), F.col("n_name").alias(name)
+        return lookup(
+            nation.select(
+                F.col("n_nationkey").alias(key), F.col("n_regionkey").alias(zone), F.col("n_name").alias(name)
+            )
         )
 
     customer = read("customer").select(
@@ -320,6 +324,14 @@ class DerivedLedger(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(LEDGER_COLUMNS)
 
+    def prepare(self) -> None:
+        """Write every stored table now, a few at a time so their small stages overlap."""
+        self.legs, self.windows
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(self.__getitem__, [*STORED, "settlementSettlementWindow"]))
+        for name in self:
+            self[name]
+
     def path(self, name: str) -> str:
         """Folder of a stored table, for readers that take a path (streams)."""
         self[name]
