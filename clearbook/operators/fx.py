@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.functions.fx import decoded_rate, rounding_difference
 from clearbook.functions.text import float_text, or_null_word
-from clearbook.operators.joins import lookup
+from clearbook.operators.joins import LOOKUP_BYTES, estimated_bytes, lookup
 from clearbook.sources.reference_data import RATE_FREEZE_SECONDS, registry_list
 
 Tables = Mapping[str, DataFrame]
 
+# Days a rate is valid for, as a guess of how much its rows per day take.
+TYPICAL_DAYS = 64
+
 # Patterns of a virtual participant's name and of any identifier.
 VIRTUAL_NAME = "^DFSP[A-Z]{3}$"
 ANY_IDENTIFIER = "^.{1,32}$"
@@ -75,28 +80,34 @@ def usable_rates(
     usable from its start on. Payments without a usable rate keep NULLs.
 
     The interval becomes an equality on the day: a rate takes part once per day
-    of its validity. A rate without end meets its pair's payments directly.
+    of its validity. Rates without end, if there are any, meet their pair's
+    payments directly. ``payments`` has a unique ``transferAId``.
     """
     pair = ["sourceCurrency", "targetCurrency"]
-    freeze = F.lit(timedelta(seconds=freeze_seconds))
-    columns = [*pair, "rateId", "validFrom", "validTo", decoded_rate(F.col("rate"), F.col("decimals")).alias("rateValue")]
-    rates = rates.select(*columns).withColumn("usableTo", F.col("validTo") + freeze)
+    found = ["rateId", "rateValue", "validFrom", "validTo"]
+    value = decoded_rate(F.col("rate"), F.col("decimals")).alias("rateValue")
+    rates = rates.select(*pair, "rateId", "validFrom", "validTo", value)
+    small = estimated_bytes(rates) * TYPICAL_DAYS <= LOOKUP_BYTES
+    usable_to = F.col("validTo") + F.lit(timedelta(seconds=freeze_seconds))
     days = F.sequence(F.to_date("validFrom"), F.to_date("usableTo"))
-    ending = rates.where(F.col("validTo").isNotNull()).withColumn("rateDay", F.explode(days))
+    ending = rates.where(F.col("validTo").isNotNull()).withColumn("usableTo", usable_to)
+    by_day = ending.select(*pair, *found, "usableTo", F.explode(days).alias("rateDay"))
+    by_day = F.broadcast(by_day) if small else by_day
     endless = rates.where(F.col("validTo").isNull())
 
-    found = ["rateId", "rateValue", "validFrom", "validTo"]
     timed = payments.withColumn("rateDay", F.to_date(ts))
-    by_day = timed.join(ending, [*pair, "rateDay"]).where(
-        (F.col(ts) >= F.col("validFrom")) & (F.col(ts) < F.col("usableTo"))
-    )
-    by_pair = payments.join(endless, pair).where(F.col(ts) >= F.col("validFrom"))
-    usable = by_day.select("transferAId", *found).unionByName(by_pair.select("transferAId", *found))
-    return (
-        payments.join(usable, "transferAId", "left")
-        .withColumn("frozen", F.coalesce(F.col(ts) >= F.col("validTo"), F.lit(False)))
-        .drop("validTo")
+    here, there = timed.alias("p"), by_day.alias("r")
+    same_day = [F.col(f"p.{c}") == F.col(f"r.{c}") for c in (*pair, "rateDay")]
+    in_time = (F.col(f"p.{ts}") >= F.col("r.validFrom")) & (F.col(f"p.{ts}") < F.col("r.usableTo"))
+    usable = here.join(there, reduce(and_, same_day) & in_time, "left").select(
+        *[F.col(f"p.{c}") for c in payments.columns], *[F.col(f"r.{c}") for c in found]
     )
+    if not endless.isEmpty():
+        started = payments.join(lookup(endless), pair).where(F.col(ts) >= F.col("validFrom"))
+        rows = [*payments.columns, *found]
+        matched = usable.where(F.col("rateId").isNotNull()).select(*rows).unionByName(started.select(*rows))
+        usable = payments.join(matched.select("transferAId", *found), "transferAId", "left")
+    return usable.withColumn("frozen", F.coalesce(F.col(ts) >= F.col("validTo"), F.lit(False))).drop("validTo")
 
 
 def rate_in_force(payments: DataFrame, rates: DataFrame, freeze_seconds: int = RATE_FREEZE_SECONDS) -> DataFrame:

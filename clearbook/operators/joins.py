@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 LOOKUP_BYTES = 8 << 20
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a result as its plan estimates it, from file sizes and without a job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def lookup(df: DataFrame) -> DataFrame:
     """A look-up table, to be broadcast if its estimated size is small.
 
-    The size comes from the plan (file sizes for stored tables) without running
-    a job. A larger table, or one of unknown size, is joined as Spark sees fit.
+    A larger table, or one of unknown size, is joined as Spark sees fit.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(str(size)) <= LOOKUP_BYTES else df
+    return F.broadcast(df) if estimated_bytes(df) <= LOOKUP_BYTES else df
 
 
 def left_join_if_present(

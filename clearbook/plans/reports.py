@@ -194,8 +194,10 @@ def settlement_window_summary(ledger: Tables) -> DataFrame:
         "fspId",
         F.col("amount").alias("quotedAmount"),
     )
+    # The role is compared as a difference, which leaves the bucketed id as the
+    # only join key: the quote parties are then merged without a shuffle.
     of_line = (F.col("lineQuoteId") == F.col("partyQuoteId")) & (
-        F.col("transferParticipantRoleTypeId") == F.col("partyRole")
+        F.col("transferParticipantRoleTypeId") - F.col("partyRole") == 0
     )
     sums = (
         ledger["transferFulfilment"]
