@@ -11,10 +11,9 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The missing-value marker and the date pattern of the reports.
+# The missing-value marker and the form of a time parameter.
 NULL_WORD = "null"
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
+ISO_SECONDS = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"
 
 
 def or_null_word(value: Column) -> Column:
@@ -28,8 +27,14 @@ def or_empty(value: Column) -> Column:
 
 
 def iso_millis(ts: Column) -> Column:
-    """ISO-8601 text cut (not rounded) to milliseconds; NULL stays NULL."""
-    return F.concat(F.date_format(ts, ISO_MILLIS), F.lit("Z"))
+    """ISO-8601 text cut (not rounded) to milliseconds; NULL stays NULL.
+
+    Made from the text of a time without zone: formatting would go through the
+    session's time zone and move times that daylight saving skips.
+    """
+    text = ts.cast("timestamp_ntz").cast("string")
+    millis = F.rpad(F.substring(text, 21, 3), 3, "0")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), millis, F.lit("Z"))
 
 
 def plain_number(value: Column) -> Column:
@@ -58,4 +63,4 @@ def report_time(value: str | datetime) -> Column:
 
 def parsed_report_time(text: str) -> Column:
     """A text parameter in ISO seconds; unreadable text is NULL, so no row matches."""
-    return F.try_to_timestamp(F.lit(text), F.lit(ISO_SECONDS)).cast("timestamp_ntz")
+    return F.when(F.lit(text).rlike(ISO_SECONDS), F.lit(text).try_cast("timestamp_ntz"))

@@ -38,6 +38,17 @@ def test_iso_text_is_cut_to_milliseconds(spark):
     assert value(spark, text.iso_millis(F.lit("2020-01-02 03:04:05").cast("timestamp_ntz"))) == "2020-01-02T03:04:05.000Z"
 
 
+def test_iso_text_does_not_depend_on_the_time_zone(spark):
+    skipped = F.lit("2020-03-08 02:30:00.5").cast("timestamp_ntz")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert value(spark, text.iso_millis(skipped)) == "2020-03-08T02:30:00.500Z"
+        assert value(spark, text.parsed_report_time("2020-03-08T02:30:00")) == datetime(2020, 3, 8, 2, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 @pytest.mark.parametrize("number, shown", [(10.0, "10"), (1e8, "100000000"), (1e-4, "0.0001"), (0.0, "0"), (5.375, "5.375")])
 def test_doubles_are_plain_text(spark, number, shown):
     assert value(spark, text.float_text(F.lit(number))) == shown
@@ -46,6 +57,7 @@ def test_doubles_are_plain_text(spark, number, shown):
 def test_time_parameters(spark):
     assert value(spark, text.parsed_report_time("2020-01-02T03:04:05")) == datetime(2020, 1, 2, 3, 4, 5)
     assert value(spark, text.parsed_report_time("yesterday")) is None
+    assert value(spark, text.parsed_report_time("2020-13-02T03:04:05")) is None
     assert value(spark, text.report_time("2020-01-02T03:04:05")) == datetime(2020, 1, 2, 3, 4, 5)
 
 
