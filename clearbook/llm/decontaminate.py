@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.llm.tables import DOC_ID, TEXT, id_and_text, once_per_worker
+from clearbook.sources.sinks import staged
 
 Item = tuple[int | None, str]
 FOUND = "doc_id long, item_id long, distance int, start long, stop long"
@@ -158,5 +159,5 @@ def find_items(
 
 def without_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents that hold no item, with all their columns; null ids stay if their row holds none."""
-    hit = find_items(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("_hit")).distinct()
+    hit = staged(find_items(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("_hit")).distinct(), "hits")
     return docs.join(hit, F.col(id_col).eqNullSafe(F.col("_hit")), "left_anti")

@@ -22,6 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clearbook.llm.tables import DOC_ID, TEXT, id_and_text, once_per_worker, ship_package
+from clearbook.sources.sinks import staged
 
 UNDETERMINED = "und"
 WORD_START = "▁"
@@ -133,8 +134,9 @@ def words_of(chunk: str) -> list[str]:
     return [WORD_START + run[at : at + LONGEST] for run in runs for at in range(0, len(run), LONGEST)]
 
 
-def held_out(id_col: str | Column) -> Column:
-    return (F.crc32(F.coalesce(F.col(id_col) if isinstance(id_col, str) else id_col, F.lit("")).cast("string")) % 4) == 2
+def held_out(id_col: str) -> Column:
+    """Whether a document is left out of training: a quarter, by a hash of its id."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 4 == 2
 
 
 class LanguageModel:
@@ -290,3 +292,17 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
             yield pa.record_batch([batch[DOC_ID], pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def without_rejected(
+    docs: DataFrame, model: LanguageModel, least_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows, with all columns, of a language told with at least ``least_score``.
+
+    Null and empty texts, and those without letters, go; where rows share an id,
+    one that is rejected takes the others with it.
+    """
+    told = predict(docs, model, id_col, text_col)
+    bad = told.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < least_score))
+    bad = staged(bad.select(F.col("doc_id").alias("_bad")).distinct(), "rejected")
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearbook.llm.tables import DOC_ID, TEXT, id_and_text
+from clearbook.llm.tables import DOC_ID, TEXT
 from clearbook.sources.sinks import staged
 
 PLACE = ["_doc", "_same", "_at"]
@@ -48,7 +48,9 @@ def repeated_starts(lines: DataFrame, min_lines: int) -> DataFrame:
     return ranked.join(first, "_rank").where(F.col("_first") < F.struct("_doc", "_at")).select(*PLACE)
 
 
-def without_repeated_runs(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeated_runs(
+    docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """``doc_id``, ``text`` without later copies of line runs, ``n_lines``, ``n_removed`` and ``n_runs`` of every row.
 
     A line goes if it lies in a run of ``min_lines`` lines or more that also
@@ -56,13 +58,16 @@ def without_repeated_runs(docs: DataFrame, min_lines: int = 2, id_col: str = "do
     judged on the input, not on what is left, and don't cross documents. Lines end
     with a line feed. A null text stays null and has no lines; an empty one is one
     empty line. Null ids come before all others; rows that share id and text
-    are treated alike, rows that share the id alone are not earlier than each other.
+    are treated alike, rows that share the id alone are not earlier than each other. Columns named in
+    ``keep`` are passed on.
     """
-    table = id_and_text(docs, id_col, text_col).select(
+    rest = F.struct(F.lit(0).alias("_none"), *(F.col(name) for name in keep)).alias("_rest")
+    table = docs.select(F.col(id_col).cast("long").alias(DOC_ID), F.col(text_col).cast("string").alias(TEXT), rest).select(
         F.col(DOC_ID).alias("_id"),
         F.coalesce(DOC_ID, F.lit(-(1 << 63))).alias("_doc"),
         F.coalesce(F.xxhash64(TEXT), F.lit(0)).alias("_same"),
         TEXT,
+        "_rest",
     )
     split = F.split(TEXT, "\n")
     lines = table.where(F.col(TEXT).isNotNull()).select("_doc", "_same", F.posexplode(split).alias("_at", "_text"))
@@ -89,5 +94,6 @@ def without_repeated_runs(docs: DataFrame, min_lines: int = 2, id_col: str = "do
             F.when(F.col(TEXT).isNull(), 0).otherwise(F.size("_lines")).alias("n_lines"),
             F.size(removed).alias("n_removed"),
             F.size(F.array_except(removed, F.transform(removed, lambda at: at + 1))).alias("n_runs"),
+            *(F.col(f"_rest.{name}") for name in keep),
         )
     )

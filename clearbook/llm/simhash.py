@@ -115,5 +115,5 @@ def near_copies(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows whose id is the smallest of their component; rows with a null id stay."""
     found = near_copies(docs, id_col=id_col, **options)
-    later = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_later")).distinct()
+    later = staged(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_later")).distinct(), "later")
     return docs.join(later, F.col(id_col) == F.col("_later"), "left_anti")
