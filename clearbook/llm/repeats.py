@@ -29,7 +29,7 @@ from clearbook.sources.sinks import staged
 U8 = np.uint64
 BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 INVERSES = tuple(pow(base, -1, 1 << 64) for base in BASES)
-FLUSH = 400_000
+FLUSH = 100_000
 KEY = ["_doc", "_same"]
 OUT = "_kind int, _doc long, _same long, _start int, _stop int, _shard long"
 MARK, BLOCK = 0, 1
