@@ -46,7 +46,7 @@ class MergeTransducer:
     needs one beyond it is followed through the same ways without storing them.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most_steps: int = 300_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], most_steps: int = 100_000) -> None:
         self.ranks = ranks
         self.most_steps = most_steps
         self._bytes = {rank: token for token, rank in ranks.items()}
@@ -108,7 +108,7 @@ class MergeTransducer:
         key = left << 32 | right
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) >= 400_000:
+            if len(self._pairs) >= 250_000:
                 self._pairs.clear()
             known = self._pairs[key] = left < 0 or self._boundary_stays(left, right)
         return known
@@ -242,7 +242,7 @@ class TextEncoder:
     cut before such spaces, and the cuts that were met of late looked up.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most_kept: int = 400_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most_kept: int = 150_000) -> None:
         self.transducer = MergeTransducer(ranks)
         self._cut = pattern == SPACE_LED
         self._split = regex.compile(pattern)

@@ -229,7 +229,7 @@ def train(
 class _Scorer:
     """Scores texts; chunks between white space that were met of late are looked up."""
 
-    def __init__(self, pieces: Pieces, logs: np.ndarray, most_kept: int = 600_000) -> None:
+    def __init__(self, pieces: Pieces, logs: np.ndarray, most_kept: int = 400_000) -> None:
         self._pieces, self._logs, self._most = pieces, logs, most_kept
         self._clear()
 
@@ -278,7 +278,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = once_per_worker(("pieces", path), lambda: Pieces(path))
-        scorer = once_per_worker(("scorer", key), lambda: _Scorer(pieces, sent.value), keep=3)
+        scorer = once_per_worker(("scorer", key), lambda: _Scorer(pieces, sent.value))
         for batch in batches:
             texts = [text.as_py() or "" for text in batch[TEXT]]
             names, scores = [], []

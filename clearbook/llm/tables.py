@@ -48,7 +48,7 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias(DOC_ID), F.col(text_col).cast("string").alias(TEXT))
 
 
-def once_per_worker(key: Hashable, make: Callable[[], Made], keep: int = 4) -> Made:
+def once_per_worker(key: Hashable, make: Callable[[], Made], keep: int = 2) -> Made:
     """A costly object (a vocabulary, an automaton) made once in a Python worker and reused by its tasks."""
     if key in _per_worker:
         _per_worker.move_to_end(key)
