@@ -277,8 +277,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     languages, path, key = model.languages, model.vocabulary_path, uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = once_per_worker(("pieces", path), lambda: Pieces(path))
-        scorer = once_per_worker(("scorer", key), lambda: _Scorer(pieces, sent.value))
+        scorer = once_per_worker(("scorer", key), lambda: _Scorer(Pieces(path), sent.value))
         for batch in batches:
             texts = [text.as_py() or "" for text in batch[TEXT]]
             names, scores = [], []

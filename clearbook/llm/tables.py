@@ -48,12 +48,15 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias(DOC_ID), F.col(text_col).cast("string").alias(TEXT))
 
 
-def once_per_worker(key: Hashable, make: Callable[[], Made], keep: int = 2) -> Made:
-    """A costly object (a vocabulary, an automaton) made once in a Python worker and reused by its tasks."""
+def once_per_worker(key: Hashable, make: Callable[[], Made], keep: int = 1) -> Made:
+    """A costly object (a vocabulary, an automaton) made once in a Python worker and reused by its tasks.
+
+    The one that the worker made before goes, so that memory doesn't add up over stages.
+    """
     if key in _per_worker:
         _per_worker.move_to_end(key)
     else:
-        _per_worker[key] = make()
-        while len(_per_worker) > keep:
+        while len(_per_worker) >= keep:
             _per_worker.popitem(last=False)
+        _per_worker[key] = make()
     return _per_worker[key]  # type: ignore[return-value]
