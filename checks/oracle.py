@@ -396,11 +396,15 @@ def oracle_sql() -> dict[str, str]:
             born IS NOT NULL AS dateOfBirthIsString FROM fact""", FACTS),
         "fx_provider_lookup": statement("SELECT transferId, currencyId, 'DFSP' || currencyId AS dfsp FROM transfer"),
         "dfsp_registry": statement(
-            """SELECT p.fspId AS dfspId, z.currencyId, z.zoneName, count(*) AS numQuotes, sum(p.amount) AS totalAmount
-            FROM quoteParty p JOIN participant o ON o.name = p.fspId JOIN account a ON a.participantId = o.participantId
+            """SELECT l.dfspId, l.currencyId, z.zoneName, l.isVirtual, coalesce(v.numSent, 0) AS numSent,
+              coalesce(v.numReceived, 0) AS numReceived, v.totalAmount
+            FROM (SELECT DISTINCT o.name AS dfspId, a.currencyId, o.participantId >= 100 AS isVirtual
+              FROM participant o JOIN account a ON a.participantId = o.participantId) l
             JOIN (VALUES ('XOF','CFA Franc BCEAO'),('XTS','Testing currency'),('XXX','No currency'),('EUR','Euro'),
-              ('MAD','Moroccan Dirham')) z(currencyId, zoneName) ON z.currencyId = a.currencyId
-            WHERE p.kind = 'PAYER' GROUP BY ALL"""),
+              ('MAD','Moroccan Dirham')) z(currencyId, zoneName) ON z.currencyId = l.currencyId
+            LEFT JOIN (SELECT fspId, count(*) FILTER (WHERE kind = 'PAYER') AS numSent,
+              count(*) FILTER (WHERE kind = 'PAYEE') AS numReceived, sum(amount) AS totalAmount
+              FROM quoteParty GROUP BY fspId) v ON v.fspId = l.dfspId"""),
         "dfsp_id_valid": statement(
             """SELECT id AS fspId, length(id) BETWEEN 1 AND 32 AS isValidId,
               regexp_full_match(id, 'DFSP[A-Z]{3}') AS isVirtualName, count(*) AS numUses

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import timedelta
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.functions.fx import decoded_rate, rounding_difference
 from clearbook.functions.text import float_text, or_null_word
-from clearbook.operators.joins import LOOKUP_BYTES, estimated_bytes, lookup
+from clearbook.operators.joins import lookup
 from clearbook.sources.reference_data import RATE_FREEZE_SECONDS, registry_list
 
 Tables = Mapping[str, DataFrame]
 
-# Days a rate is valid for, as a guess of how much its rows per day take.
-TYPICAL_DAYS = 64
+# Cells of time: the finest has 2 ** 16 seconds, each next level 16 times as many.
+FINEST_BITS, LEVEL_BITS, LEVELS = 16, 4, 6
+LAST_SECOND = (1 << (FINEST_BITS + LEVEL_BITS * LEVELS)) - 1
+# Added to seconds since 1970, so that none are negative.
+SECONDS_BEFORE = 1 << 36
 
 # Patterns of a virtual participant's name and of any identifier.
 VIRTUAL_NAME = "^DFSP[A-Z]{3}$"
@@ -70,6 +71,58 @@ def exchange_payments(ledger: Tables) -> DataFrame:
     )
 
 
+def _seconds_of(ts: Column) -> Column:
+    """Whole seconds on the axis of cells, read as UTC."""
+    days = F.datediff(ts, F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86_400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts) + SECONDS_BEFORE
+
+
+def _cell_of(level: int) -> Callable[[Column], Column]:
+    return lambda cell: F.struct(F.lit(level).alias("level"), cell.alias("cell"))
+
+
+def _cover(first: Column, last: Column) -> Column:
+    """The fewest aligned cells that hold all seconds from first to last, rounded out to the finest cells.
+
+    On each level up to 15 cells stand on either side, whatever the length.
+    """
+    low, high = F.shiftright(first, FINEST_BITS), F.shiftright(last, FINEST_BITS) + 1
+    parts = []
+    for level in range(LEVELS):
+        width = 1 << LEVEL_BITS
+        if level == LEVELS - 1:
+            left, right = high, high
+        else:
+            left = F.least(high, F.shiftright(low + (width - 1), LEVEL_BITS) * width)
+            right = F.greatest(left, F.shiftright(high, LEVEL_BITS) * width)
+        for start, stop in ((low, left), (right, high)):
+            cells = F.when(start < stop, F.sequence(start, stop - 1)).otherwise(F.array().cast("array<bigint>"))
+            parts.append(F.transform(cells, _cell_of(level)))
+        low, high = F.shiftright(left, LEVEL_BITS), F.shiftright(right, LEVEL_BITS)
+    return F.concat(*parts)
+
+
+def _rates_met(payments: DataFrame, rates: DataFrame, freeze_seconds: int, ts: str) -> DataFrame:
+    """``transferAId`` and each usable rate of its payment."""
+    pair = ["sourceCurrency", "targetCurrency"]
+    value = decoded_rate(F.col("rate"), F.col("decimals")).alias("rateValue")
+    usable_to = (F.col("validTo") + F.lit(timedelta(seconds=freeze_seconds))).alias("usableTo")
+    rates = rates.select(*pair, "rateId", "validFrom", "validTo", usable_to, value)
+    last = F.coalesce(_seconds_of(F.col("usableTo")), F.lit(LAST_SECOND).cast("long"))
+    covered = rates.withColumn("_place", F.explode(_cover(_seconds_of(F.col("validFrom")), last)))
+    moment = F.shiftright(_seconds_of(F.col(ts)), FINEST_BITS)
+    around = F.array(
+        *(F.struct(F.lit(k).alias("level"), F.shiftright(moment, LEVEL_BITS * k).alias("cell")) for k in range(LEVELS))
+    )
+    placed = payments.select("transferAId", *pair, F.col(ts).alias("_at"), F.explode(around).alias("_place"))
+    met = placed.select("*", "_place.*").drop("_place").join(
+        covered.select("*", "_place.*").drop("_place"), [*pair, "level", "cell"]
+    )
+    in_time = (F.col("_at") >= F.col("validFrom")) & (F.col("usableTo").isNull() | (F.col("_at") < F.col("usableTo")))
+    frozen = F.coalesce(F.col("_at") >= F.col("validTo"), F.lit(False)).alias("frozen")
+    return met.where(in_time).select("transferAId", "rateId", "rateValue", "validFrom", frozen)
+
+
 def usable_rates(
     payments: DataFrame, rates: DataFrame, freeze_seconds: int = RATE_FREEZE_SECONDS, ts: str = "createdDate"
 ) -> DataFrame:
@@ -79,42 +132,26 @@ def usable_rates(
     ``validTo``; ``frozen`` marks a use past ``validTo``. A rate without end is
     usable from its start on. Payments without a usable rate keep NULLs.
 
-    The interval becomes an equality on the day: a rate takes part once per day
-    of its validity. Rates without end, if there are any, meet their pair's
-    payments directly. ``payments`` has a unique ``transferAId``.
+    The interval becomes an equality: a rate stands in the few aligned cells of
+    time, of growing sizes, that cover its interval, and a payment in the one cell
+    of each size around its time, so the two meet in one cell at most.
+    ``payments`` has a unique ``transferAId``.
     """
-    pair = ["sourceCurrency", "targetCurrency"]
-    found = ["rateId", "rateValue", "validFrom", "validTo"]
-    value = decoded_rate(F.col("rate"), F.col("decimals")).alias("rateValue")
-    rates = rates.select(*pair, "rateId", "validFrom", "validTo", value)
-    small = estimated_bytes(rates) * TYPICAL_DAYS <= LOOKUP_BYTES
-    usable_to = F.col("validTo") + F.lit(timedelta(seconds=freeze_seconds))
-    days = F.sequence(F.to_date("validFrom"), F.to_date("usableTo"))
-    ending = rates.where(F.col("validTo").isNotNull()).withColumn("usableTo", usable_to)
-    by_day = ending.select(*pair, *found, "usableTo", F.explode(days).alias("rateDay"))
-    by_day = F.broadcast(by_day) if small else by_day
-    endless = rates.where(F.col("validTo").isNull())
-
-    timed = payments.withColumn("rateDay", F.to_date(ts))
-    here, there = timed.alias("p"), by_day.alias("r")
-    same_day = [F.col(f"p.{c}") == F.col(f"r.{c}") for c in (*pair, "rateDay")]
-    in_time = (F.col(f"p.{ts}") >= F.col("r.validFrom")) & (F.col(f"p.{ts}") < F.col("r.usableTo"))
-    usable = here.join(there, reduce(and_, same_day) & in_time, "left").select(
-        *[F.col(f"p.{c}") for c in payments.columns], *[F.col(f"r.{c}") for c in found]
+    met = _rates_met(payments, rates, freeze_seconds, ts)
+    return payments.join(met, "transferAId", "left").select(
+        *payments.columns, "rateId", "rateValue", "validFrom", F.coalesce("frozen", F.lit(False)).alias("frozen")
     )
-    if not endless.isEmpty():
-        started = payments.join(lookup(endless), pair).where(F.col(ts) >= F.col("validFrom"))
-        rows = [*payments.columns, *found]
-        matched = usable.where(F.col("rateId").isNotNull()).select(*rows).unionByName(started.select(*rows))
-        usable = payments.join(matched.select("transferAId", *found), "transferAId", "left")
-    return usable.withColumn("frozen", F.coalesce(F.col(ts) >= F.col("validTo"), F.lit(False))).drop("validTo")
 
 
-def rate_in_force(payments: DataFrame, rates: DataFrame, freeze_seconds: int = RATE_FREEZE_SECONDS) -> DataFrame:
+def rate_in_force(
+    payments: DataFrame, rates: DataFrame, freeze_seconds: int = RATE_FREEZE_SECONDS, ts: str = "createdDate"
+) -> DataFrame:
     """Each payment with the usable rate that started last."""
     newest = F.max_by(F.struct("rateId", "rateValue", "frozen"), F.struct("validFrom", "rateId")).alias("newest")
-    usable = usable_rates(payments, rates, freeze_seconds)
-    return usable.groupBy(*payments.columns).agg(newest).select(*payments.columns, "newest.*")
+    met = _rates_met(payments, rates, freeze_seconds, ts).groupBy("transferAId").agg(newest)
+    found = payments.join(met, "transferAId", "left")
+    frozen = F.coalesce("newest.frozen", F.lit(False)).alias("frozen")
+    return found.select(*payments.columns, "newest.rateId", "newest.rateValue", frozen)
 
 
 def converted_quotes(ledger: Tables) -> DataFrame:

@@ -28,19 +28,17 @@ def left_join_if_present(
 ) -> DataFrame:
     """Left join on a key that is often NULL, without one task for all the NULLs.
 
-    A row without the key takes a value made from ``spread``, which only places
-    it in some partition: the condition still asks for the key, so it matches
-    nothing. ``other`` keeps its columns except its key.
+    The key's hash is the first key of the join. A row without the key takes the
+    hash of ``spread`` instead, which only places it in some partition: the second
+    key is NULL, so it matches nothing. ``other`` keeps its columns except its key.
     """
-    right_key = "_other_key"
-    other = other.withColumnRenamed(other_key or key, right_key)
-    filler = F.xxhash64(spread).cast("string")
+    right_key, left_hash, right_hash = "_other_key", "_spread_hash", "_other_hash"
     kind = df.schema[key].dataType
-    if kind.simpleString() != "string":
-        filler = (F.xxhash64(spread) % (1 << 31)).cast(kind)
-    left_key = "_spread_key"
+    other = other.withColumnRenamed(other_key or key, right_key)
+    other = other.withColumn(right_hash, F.xxhash64(F.col(right_key).cast(kind)))
+    hashed = F.when(F.col(key).isNull(), F.xxhash64(spread)).otherwise(F.xxhash64(key))
     return (
-        df.withColumn(left_key, F.coalesce(key, filler))
-        .join(other, (F.col(left_key) == F.col(right_key)) & F.col(key).isNotNull(), "left")
-        .drop(left_key, right_key)
+        df.withColumn(left_hash, hashed)
+        .join(other, (F.col(left_hash) == F.col(right_hash)) & (F.col(key) == F.col(right_key)), "left")
+        .drop(left_hash, right_hash, right_key)
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -30,13 +31,13 @@ def local_session(name: str = "clearbook", cpus: str | None = None) -> SparkSess
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only a local master may fall back to a temporary folder: on a cluster that
+    Only a single local process may fall back to a temporary folder: on a cluster that
     would put a table where the other machines cannot see it.
     """
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="clearbook-")
     spark.sparkContext.setCheckpointDir(folder)

@@ -34,7 +34,7 @@ ZONE_CURRENCIES = ["XOF", "XTS", "XXX", "EUR", "MAD"]
 OPEN_WINDOW = 2001 * 12 + 6
 
 BYTES_PER_BUCKET = 2 << 30
-FEWEST_BUCKETS, MOST_BUCKETS = 8, 100_000
+FEWEST_BUCKETS = 8
 
 
 def _currency(zone: str) -> Column:
@@ -297,12 +297,10 @@ class DerivedLedger(Mapping[str, DataFrame]):
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
         self.folder = run_folder(spark, "ledger")
-        # Each bucket is one sorted file; this setting lets joins rely on that order.
-        spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
         input_bytes = sum(
             _input_size(spark, f"{self.sf_dir}/{t}.parquet")[0] for t in ("orders", "lineitem", "customer", "supplier")
         )
-        self.buckets = min(MOST_BUCKETS, max(FEWEST_BUCKETS, input_bytes // BYTES_PER_BUCKET))
+        self.buckets = max(FEWEST_BUCKETS, input_bytes // BYTES_PER_BUCKET)
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -366,7 +364,7 @@ class DerivedLedger(Mapping[str, DataFrame]):
 
     def _store_small(self, name: str, rows: DataFrame) -> DataFrame:
         path = f"{self.folder}/{name}"
-        rows.coalesce(1).write.parquet(path)
+        rows.write.parquet(path)
         return self.spark.read.parquet(path)
 
     # The small tables: participants, rates, and whatever follows the windows.

@@ -18,12 +18,12 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 @contextmanager
 def stream_settings(spark: SparkSession) -> Iterator[None]:
-    """State in RocksDB, outside the heap, and no more state partitions than the cores can use."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = {
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-        "spark.sql.shuffle.partitions": str(min(partitions, 2 * spark.sparkContext.defaultParallelism)),
-    }
+    """State in RocksDB, outside the heap.
+
+    A stateful query keeps the number of state partitions it starts with, which is
+    the session's number of shuffle partitions.
+    """
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     before = {key: spark.conf.get(key, None) for key in wanted}
     try:
         for key, value in wanted.items():

@@ -20,6 +20,7 @@ def parquet_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
     The last letter is written as a glob: a plain path would have to be a folder.
     """
+    path = path.rstrip("/")
     return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
@@ -36,13 +37,20 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, schema: str) ->
 
 
 def as_instant(ts: Column) -> Column:
-    """A time without zone as an instant, read as UTC: watermarks need instants."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts).cast("timestamp")
+    """A time without zone as an instant, read as UTC: watermarks need instants.
+
+    Made from its parts, not by way of the session's zone, where an hour may be
+    missing or come twice.
+    """
+    date = [F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts)]
+    return F.make_timestamp(*date, F.date_part(F.lit("SECOND"), ts), F.lit("UTC"))
 
 
 def as_utc_time(ts: Column) -> Column:
-    """The reverse of ``as_instant``."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+    """The reverse of ``as_instant``: the time since 1970, added to a time without zone."""
+    seconds_since = (F.unix_micros(ts).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    start = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds_since)
 
 
 def quote_event_stream(facts: DataFrame, rules: list[dict] | None = None) -> DataFrame:

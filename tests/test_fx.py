@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -135,3 +135,23 @@ def test_net_positions_cancel_out(ledger):
     sums = settlement.net_positions(ledger).groupBy("currencyId", "settlementWindowId").agg(F.sum("netPosition").alias("s"))
     assert sums.where("s <> 0").count() == 0
     assert sums.count() > 0
+
+
+def test_rates_of_any_length(spark):
+    """Ends in 9999, no end, overlaps, many rates of one pair: each payment meets what a comparison finds."""
+    start, pair = datetime(2000, 1, 1), ("EUR", "MAD")
+    spans = [(0, None), (0, datetime(9999, 12, 30)), (5, start + timedelta(hours=5, seconds=10)), (7, start + timedelta(days=4000))]
+    spans += [(k, start + timedelta(hours=k + 1 + k % 40)) for k in range(0, 3000, 7)]
+    rows = [(*pair, n, 12345, 3, start + timedelta(hours=k), end) for n, (k, end) in enumerate(spans)]
+    columns = "sourceCurrency STRING, targetCurrency STRING, rateId INT, rate INT, decimals INT"
+    rates = spark.createDataFrame(rows, f"{columns}, validFrom TIMESTAMP_NTZ, validTo TIMESTAMP_NTZ")
+    moments = [start + timedelta(minutes=m) for m in range(-90, 190_000, 997)]
+    payments = spark.createDataFrame(
+        [(f"p{n}", *(pair if n % 5 else ("EUR", "XXX")), m) for n, m in enumerate(moments)],
+        "transferAId STRING, sourceCurrency STRING, targetCurrency STRING, createdDate TIMESTAMP_NTZ",
+    )
+    expected = set()
+    for n, m in enumerate(moments):
+        fits = [r[2] for r in rows if n % 5 and r[5] <= m and (r[6] is None or (m - r[6]).total_seconds() < 30)]
+        expected |= {(f"p{n}", r) for r in fits or [None]}
+    assert {(r["transferAId"], r["rateId"]) for r in fx.usable_rates(payments, rates).collect()} == expected

@@ -6,7 +6,9 @@ import pytest
 import __spark_entry__ as entry
 from checks.compare import TABLES, counted
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = entry.oracle_sql()
+# The text-corpus queries have tests of their own; here are those that have SQL.
+QUERIES = {name: query for name, query in entry.queries().items() if name in SQL}
 # The reports, and the cores that the daily reports stage before their last part.
 REPORTS = [*list(QUERIES)[: list(QUERIES).index("report_csv")], "transfer_core_dfsp", "transfer_core_hub"]
 
@@ -20,7 +22,9 @@ def database(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    without = {name for name in entry.queries() if name not in SQL}
+    assert set(SQL) == set(QUERIES)
+    assert all(name.startswith("op") or name == "pipeline" for name in without)
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from clearbook.operators import rules, settlement, states
@@ -77,3 +78,19 @@ def test_settings_are_restored(spark):
     with runs.stream_settings(spark):
         assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Paris", "America/New_York"])
+def test_instants_are_exact_where_clocks_change(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    moments = [datetime(2024, 10, 27, h, m, 5, 123456) for h in range(4) for m in (0, 30)]
+    moments += [datetime(2024, 3, 31, h, 30) for h in range(4)] + [datetime(1969, 12, 31, 23, 59, 59, 999999)]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        rows = spark.createDataFrame([(m,) for m in moments], "ts TIMESTAMP_NTZ")
+        instant = streams.as_instant(F.col("ts"))
+        found = rows.select("ts", F.unix_micros(instant).alias("micros"), streams.as_utc_time(instant).alias("back")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert all(r["back"] == r["ts"] for r in found)
+    assert {r["ts"]: r["micros"] for r in found} == {m: (m - datetime(1970, 1, 1)) // timedelta(microseconds=1) for m in moments}
