@@ -32,7 +32,11 @@ from tests.llm import brute
 
 SCHEMA = "doc_id long, text string"
 # Columns that clash with names used inside and in the results.
-CLASHING = {"ids": F.lit(1), "fingerprint": F.lit("x"), "_text": F.lit("y"), "_doc": F.lit(2), "lines": F.lit(0)}
+CLASHING = {"ids": 1, "fingerprint": "x", "_text": "y", "_doc": 2, "lines": 0}
+
+
+def clashing():
+    return {name: F.lit(value) for name, value in CLASHING.items()}
 
 
 def passages(seed, documents=150):
@@ -59,7 +63,7 @@ def passages(seed, documents=150):
 
 @pytest.fixture(scope="module")
 def texts(spark):
-    return spark.createDataFrame(passages(1), SCHEMA).withColumns(CLASHING)
+    return spark.createDataFrame(passages(1), SCHEMA).withColumns(clashing())
 
 
 def empty(spark):
@@ -146,7 +150,7 @@ def test_simhash(spark):
             text[rng.randrange(len(text))] = rng.choice(words)
         rows.append((k, " ".join(text)))
     prints = [(doc_id, brute.fingerprint(text or "", 4)) for doc_id, text in rows]
-    found = simhash.near_copies(spark.createDataFrame(rows, SCHEMA).withColumns(CLASHING)).collect()
+    found = simhash.near_copies(spark.createDataFrame(rows, SCHEMA).withColumns(clashing())).collect()
     assert {r.doc_id: r.fingerprint for r in found} == {doc_id: f"{value:016x}" for doc_id, value in prints}
     expected = brute.components(prints, 4)
     assert {r.doc_id: r.component_id for r in found} == expected
@@ -175,7 +179,7 @@ def test_components_of_a_long_chain_and_a_star(spark):
 
 def test_line_runs(spark):
     rows = [(1, "a\nb\nc"), (2, "a\nb\nd"), (3, "x\nb\nc"), (4, "a\nb\nc"), (5, "a"), (6, ""), (7, None), (8, "q\nq\nq\nq"), (4, "a\nb\nc"), (None, "n\nm")]
-    found = line_dedup.without_repeated_runs(spark.createDataFrame(rows, SCHEMA).withColumns(CLASHING), keep=("ids",)).collect()
+    found = line_dedup.without_repeated_runs(spark.createDataFrame(rows, SCHEMA).withColumns(clashing()), keep=("ids",)).collect()
     assert sorted((r.doc_id or 0, r.text, r.n_lines, r.n_removed, r.n_runs) for r in found if r.text is not None) == [
         (0, "n\nm", 2, 0, 0), (1, "a\nb\nc", 3, 0, 0), (2, "d", 3, 2, 1), (3, "x", 3, 2, 1), (4, "", 3, 3, 1), (4, "", 3, 3, 1),
         (5, "a", 1, 0, 0), (6, "", 1, 0, 0), (8, "q", 4, 3, 1),
@@ -202,7 +206,7 @@ def test_byte_bpe_equals_the_library(spark):
     letters = "aaabbthe hello 123 ÉñÖ日本語\n\t!!??    x'll\U0001f600"
     rows = [(k, "".join(rng.choice(letters) for _ in range(rng.randint(0, 80)))) for k in range(300)]
     rows += [(1000, None), (1001, ""), (1002, "ab" * 30_000), (1003, "<|endoftext|>"), (1003, "<|endoftext|>"), (None, "  x ")]
-    docs = spark.createDataFrame(rows, SCHEMA).withColumns(CLASHING)
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns(clashing())
     encoded = byte_bpe.encode_documents(docs, BYTE_RANKS, public_tokenizers.PATTERN)
     found = {(r.doc_id, r.text): np.frombuffer(r.ids, "<u4").tolist() for r in byte_bpe.decode_documents(encoded, BYTE_RANKS).collect()}
     assert found == {(doc_id, text or ""): library.encode_ordinary(text or "") for doc_id, text in rows}
@@ -229,7 +233,7 @@ def test_token_store(spark):
     words = ["Hello,", "world's", "É́a", "日本", "don't", "x y", "42", "Σίσυφος", "thth" * 20]
     rows = [(k * 5 % 301, " ".join(rng.choice(words) for _ in range(rng.randint(0, 300)))) for k in range(301)] + [(400, None), (401, "")]
     path = run_folder(spark, "test-store")
-    docs = spark.createDataFrame(rows, SCHEMA).withColumns(CLASHING).repartition(5)
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns(clashing()).repartition(5)
     token_store.write_store(docs, path, WORD_TOKENIZER, block_ids=5000, least=4)
     found = {r.doc_id: (r.start, r.n_tokens, bytes(r.ids)) for r in token_store.read_store(spark, path).collect()}
     start, expected = 0, {}
@@ -274,7 +278,7 @@ def test_language_id(spark, sf_dir):
     assert total > 20 and right >= 0.95 * total
     assert told.where("score < 0 or score > 1").count() == 0
     odd = [(1, None), (2, ""), (3, "12 -- !"), (4, "a" * 100_000), (None, docs.first().text), (1, None)]
-    table = spark.createDataFrame(odd, SCHEMA).withColumns(CLASHING)
+    table = spark.createDataFrame(odd, SCHEMA).withColumns(clashing())
     found = language_id.predict(table, model).collect()
     assert sorted((r.doc_id or 0, r.lang_pred == "und") for r in found) == [(0, False), (1, True), (1, True), (2, True), (3, True), (4, False)]
     assert sorted((r.doc_id or 0) for r in language_id.without_rejected(table, model).collect()) in ([0, 4], [0])
@@ -314,7 +318,7 @@ def test_benchmark_items(spark):
                 least = brute.nearest_distance(item, decontaminate.plain(text))
                 if least <= int(len(item) * 0.05):
                     expected.append((doc_id, item_id if item_id is not None else -1, least))
-    table = spark.createDataFrame(docs, SCHEMA).withColumns(CLASHING)
+    table = spark.createDataFrame(docs, SCHEMA).withColumns(clashing())
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     found = decontaminate.find_items(table, benchmark, block_chars=500).collect()
     assert sorted((r.doc_id, r.item_id if r.item_id is not None else -1, r.distance) for r in found) == sorted(expected)
@@ -331,7 +335,7 @@ def test_secret_candidates_and_forest(spark):
         number = "".join(rng.choice("0123456789") for _ in range(16))
         rows.append((k, f"some text here token = \"{hexes}\" and then {number} more words, src/tests/data", "src/app.py" if k % 2 else None))
     rows += [(300, None, "a"), (301, "", "a"), (302, "nothing long here 12", "a"), (0, rows[0][1], None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns(CLASHING)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns(clashing())
     found = secrets.candidates(docs)
     assert found.count() == 402
     words = secrets.dictionary(spark, WORD_TOKENIZER)
