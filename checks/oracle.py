@@ -6,6 +6,8 @@ in SQL, and then answers the query with joins, window functions and unions.
 
 from __future__ import annotations
 
+import re
+
 START, END = "1996-01-01T00:00:00", "1998-12-31T00:00:00"
 FSP_ID, PARTICIPANT_ID = "NATION_3", 100
 WINDOW_ID, RECONCILED_WINDOW_ID = 23957, 23955
@@ -106,8 +108,20 @@ def float8(value: str) -> str:
     return plain(f"CAST({value} AS DECIMAL(38,8))")
 
 
+def _definitions(text: str) -> dict[str, str]:
+    """Each table's definition by name; a definition starts at the start of a line."""
+    parts = re.split(r"(?m)^(?=\w+(?:\([\w, ]+\))? AS (?:MATERIALIZED )?\()", text)
+    return {re.match(r"\w+", p)[0]: p.strip().rstrip(",") for p in parts if p.strip()}
+
+
 def statement(select: str, *tables: str) -> str:
-    return "WITH " + ",\n".join([LEDGER.strip(), *[t.strip() for t in tables]]) + "\n" + select.strip()
+    """The query after the tables it needs, directly or through others."""
+    wanted, kept = select, []
+    for name, text in reversed(_definitions("\n".join([LEDGER, *tables])).items()):
+        if re.search(rf"(?:FROM|JOIN|,)\s+{name}\b", wanted):
+            wanted += "\n" + text
+            kept.insert(0, text)
+    return "WITH " + ",\n".join(kept) + "\n" + select.strip()
 
 
 BETWEEN = f"q.createdDate BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
@@ -353,6 +367,8 @@ def oracle_sql() -> dict[str, str]:
             _report("hubCore", _HUB_COLUMNS, "p.receivedCurrency", hub_status, identifiers=False), DETAILS, *hub),
         "settlement_window": statement(SETTLEMENT_WINDOW),
         "report_csv": statement(SETTLEMENT_WINDOW),
+        "hub_report_csv": statement(_report("hubCore", _HUB_COLUMNS, "p.receivedCurrency", hub_status), DETAILS, *hub),
+        "report_by_name": statement(_reconciliation(_OWN)),
         "txn_reconciliation": statement(_reconciliation(_OWN)),
         "txn_reconciliation_window": statement(_reconciliation(f"{_OWN} AND f.w = {RECONCILED_WINDOW_ID}")),
         "hub_daily_txn_legacy": statement(_reconciliation("true")),

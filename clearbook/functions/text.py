@@ -6,6 +6,7 @@ SQL NULL, the word ``null`` and the empty string.
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 # The missing-value marker and the form of a time parameter.
 NULL_WORD = "null"
-ISO_SECONDS = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"
+_TWO = "[0-9]{1,2}"
+TIME_FORM = ["[0-9]{4}", "-", _TWO, "-", _TWO, "T", _TWO, ":", _TWO, ":", _TWO]
 
 
 def or_null_word(value: Column) -> Column:
@@ -56,11 +58,39 @@ def when_settled(state: Column, value: Column) -> Column:
     return F.when(state == "SETTLED", value)
 
 
+def _read_time(text: str) -> datetime | None:
+    """A time read part by part until the text or the form ends.
+
+    Parts the text does not reach are zero and text after the seconds is
+    ignored; a part that does not fit, or no such day or time, gives None.
+    """
+    numbers = []
+    for part in TIME_FORM:
+        text = text.lstrip()
+        if not text:
+            break
+        found = re.match(part, text)
+        if found is None:
+            return None
+        if found[0].isdigit():
+            numbers.append(int(found[0]))
+        text = text[found.end() :]
+    try:
+        return datetime(*numbers, *[0] * (6 - len(numbers)))
+    except ValueError:
+        return None
+
+
+def _time_literal(moment: datetime | None) -> Column:
+    """As text without zone, so that the session's zone has no part in it."""
+    return F.lit(None if moment is None else moment.isoformat()).cast("timestamp_ntz")
+
+
 def report_time(value: str | datetime) -> Column:
-    """A required DATETIME parameter of a report."""
-    return F.lit(value).cast("timestamp_ntz")
+    """A DATETIME parameter of a report: a time, or text with ``T`` or a space between day and time."""
+    return _time_literal(value) if isinstance(value, datetime) else parsed_report_time(value.strip().replace(" ", "T", 1))
 
 
 def parsed_report_time(text: str) -> Column:
-    """A text parameter in ISO seconds; unreadable text is NULL, so no row matches."""
-    return F.when(F.lit(text).rlike(ISO_SECONDS), F.lit(text).try_cast("timestamp_ntz"))
+    """A text parameter; unreadable text is NULL, so no row matches."""
+    return _time_literal(_read_time(text))

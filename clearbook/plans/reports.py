@@ -23,8 +23,6 @@ from clearbook.operators.joins import left_join_if_present, lookup
 from clearbook.operators.settlement import settlement_details, with_settlement
 from clearbook.operators.states import (
     latest_transfer_state,
-    leg_a_ids,
-    leg_b_ids,
     reported_transfer_state,
     window_state_pairs,
 )
@@ -37,7 +35,6 @@ from clearbook.operators.transfers import (
     quoted_transfers,
     quotes_between,
 )
-from clearbook.sources.sinks import staged
 
 Tables = Mapping[str, DataFrame]
 
@@ -60,7 +57,8 @@ def _with_legs(core: DataFrame, ledger: Tables) -> DataFrame:
     """Add state and settlement of both legs; columns are prefixed ``a_`` and ``b_``.
 
     Leg A falls back to the transfer itself for the state but not for the
-    settlement. Both look-ups of a leg share one key, hence one shuffle.
+    settlement. Both look-ups of a leg share one key, hence one shuffle of the
+    core; states and settlements lie by transfer already and stay where they are.
     """
 
     def look_up(df: DataFrame, found: DataFrame, leg: str, only_if: Column | None = None) -> DataFrame:
@@ -68,26 +66,20 @@ def _with_legs(core: DataFrame, ledger: Tables) -> DataFrame:
         columns = [F.col(c).alias("foundKey" if c == "transferId" else f"{leg}_{c}") for c in found.columns]
         return df.join(found.select(*columns), on if only_if is None else on & only_if, "left").drop("foundKey")
 
-    def states(ids: DataFrame) -> DataFrame:
-        return reported_transfer_state(ledger, of=ids).select("transferId", "enumeration", "createdDate")
-
+    states = reported_transfer_state(ledger).select("transferId", "enumeration", "createdDate")
+    settlements = settlement_details(ledger)
     has_a, has_b = F.col("legATransferId").isNotNull(), F.col("legBTransferId").isNotNull()
-    ids_a, ids_b = leg_a_ids(core), leg_b_ids(core)
     df = core.withColumn("legKey", F.coalesce("legATransferId", "currentHubTransferID"))
-    df = look_up(df, states(ids_a), "a")
-    df = look_up(df, settlement_details(ledger, of=ids_a), "a", has_a)
+    df = look_up(df, states, "a")
+    df = look_up(df, settlements, "a", has_a)
     df = df.withColumn("legKey", F.coalesce("legBTransferId", "currentHubTransferID"))
-    df = look_up(df, states(ids_b), "b", has_b)
-    return look_up(df, settlement_details(ledger, of=ids_b), "b", has_b).drop("legKey")
+    df = look_up(df, states, "b", has_b)
+    return look_up(df, settlements, "b", has_b).drop("legKey")
 
 
 def _assembled(core: DataFrame, ledger: Tables) -> DataFrame:
-    """The core with amounts, states and settlements.
-
-    The priced core is staged: its transfers are what the states and
-    settlements are looked up for, by broadcast as long as they are few.
-    """
-    return _with_legs(staged(fx_amounts(core, ledger), "core"), ledger)
+    """The core with amounts, states and settlements, as one lazy plan."""
+    return _with_legs(fx_amounts(core, ledger), ledger)
 
 
 def _money_columns() -> list[Column]:

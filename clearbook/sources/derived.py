@@ -248,6 +248,10 @@ STORED: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
     "quoteFacts": (quote_facts, "quoteId"),
 }
 
+# Tables that reports select from by time: sorted by it within a bucket, so that a
+# daily report reads only the row groups and pages of its day.
+SORTED = {"quote": "createdDate"}
+
 # The lookup tables that hold no more than these rows.
 LOOKUPS: dict[str, list[tuple]] = {
     "transferParticipantRoleType": [(1, "PAYER_DFSP"), (2, "PAYEE_DFSP"), (3, "HUB")],
@@ -283,11 +287,15 @@ def literal_table(spark: SparkSession, columns: str, rows: list[tuple]) -> DataF
     return table.select(*[F.col(n).cast(t).alias(n) for n, t in zip(names, types)])
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    """The path and the file system it lies in."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _input_size(spark: SparkSession, path: str) -> tuple[int, int]:
     """Bytes and last change of an input, from the file system's listing."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    target, fs = _file_system(spark, path)
     return fs.getContentSummary(target).getLength(), fs.getFileStatus(target).getModificationTime()
 
 
@@ -302,6 +310,7 @@ class DerivedLedger(Mapping[str, DataFrame]):
         )
         self.buckets = max(FEWEST_BUCKETS, input_bytes // BYTES_PER_BUCKET)
         self._built: dict[str, DataFrame] = {}
+        self._tables: list[str] = []
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -356,12 +365,22 @@ class DerivedLedger(Mapping[str, DataFrame]):
             .write.mode("overwrite")
             .format("parquet")
             .bucketBy(self.buckets, key)
-            .sortBy(key)
+            .sortBy(SORTED.get(name, key))
             .option("path", f"{self.folder}/{name}")
             .saveAsTable(table)
         )
+        self._tables.append(table)
         return self.spark.table(table)
 
+    def close(self) -> None:
+        """Drop the registered tables and remove the folder; the next use of the data derives it anew."""
+        for table in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        target, fs = _file_system(self.spark, self.folder)
+        fs.delete(target, True)
+        for key in [k for k, ledger in _LEDGERS.items() if ledger is self]:
+            del _LEDGERS[key]
+
     def _store_small(self, name: str, rows: DataFrame) -> DataFrame:
         path = f"{self.folder}/{name}"
         rows.write.parquet(path)

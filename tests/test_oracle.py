@@ -9,7 +9,7 @@ from checks.compare import TABLES, counted
 SQL = entry.oracle_sql()
 # The text-corpus queries have tests of their own; here are those that have SQL.
 QUERIES = {name: query for name, query in entry.queries().items() if name in SQL}
-# The reports, and the cores that the daily reports stage before their last part.
+# The reports, and the cores of the daily ones.
 REPORTS = [*list(QUERIES)[: list(QUERIES).index("report_csv")], "transfer_core_dfsp", "transfer_core_hub"]
 
 
@@ -55,6 +55,18 @@ def test_reports_join_on_equality(spark, sf_dir, name):
     assert "Python" not in plan
 
 
+@pytest.mark.parametrize("name", ["dfsp_daily_txn", "hub_daily_txn", "hub_daily_txn_anon"])
+def test_daily_reports_are_built_without_a_job(spark, sf_dir, ledger, name):
+    ledger.prepare()
+    group = f"building-{name}"
+    spark.sparkContext.setJobGroup(group, name)
+    try:
+        QUERIES[name](spark, sf_dir)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 @pytest.fixture
 def no_broadcast(spark):
     """Plans as they are where no side is small enough to broadcast."""

@@ -1,9 +1,11 @@
+import os
+
 import pytest
 
 from clearbook.plans import reports
 from clearbook.session import run_folder, shared_folder
 from clearbook.sources import ledger as sources
-from clearbook.sources.derived import derived_ledger
+from clearbook.sources.derived import DerivedLedger, derived_ledger
 from clearbook.sources.schemas import LEDGER_COLUMNS, ledger_schema
 from clearbook.sources.sinks import write_csv
 
@@ -37,6 +39,23 @@ def test_stored_tables_lie_in_the_shared_folder(spark, ledger):
     assert ledger.path("transfer").startswith(shared_folder(spark))
 
 
+def test_quotes_of_a_bucket_lie_in_order_of_time(spark, ledger):
+    for path in ledger["quote"].inputFiles():
+        times = [r[0] for r in spark.read.parquet(path).select("createdDate").coalesce(1).collect()]
+        assert times == sorted(times)
+
+
+def test_a_closed_ledger_leaves_nothing(spark, sf_dir):
+    def registered():
+        return {t.name for t in spark.catalog.listTables()}
+
+    before = registered()
+    own = DerivedLedger(spark, sf_dir)
+    assert own["transferError"].count() and registered() > before and os.path.exists(own.folder)
+    own.close()
+    assert registered() == before and not os.path.exists(own.folder)
+
+
 def test_catalog_source_across_namespaces(spark, ledger):
     spark.sql("CREATE DATABASE IF NOT EXISTS clearbook_test_fx LOCATION '%s'" % run_folder(spark, "db"))
     ledger["transfer"].createOrReplaceTempView("transfer_view")

@@ -59,6 +59,28 @@ def test_time_parameters(spark):
     assert value(spark, text.parsed_report_time("yesterday")) is None
     assert value(spark, text.parsed_report_time("2020-13-02T03:04:05")) is None
     assert value(spark, text.report_time("2020-01-02T03:04:05")) == datetime(2020, 1, 2, 3, 4, 5)
+    assert value(spark, text.report_time("2020-01-02 03:04:05")) == datetime(2020, 1, 2, 3, 4, 5)
+    assert value(spark, text.report_time(datetime(2020, 1, 2, 3, 4, 5))) == datetime(2020, 1, 2, 3, 4, 5)
+    assert value(spark, text.report_time("yesterday")) is None
+
+
+@pytest.mark.parametrize(
+    "given, read",
+    [
+        ("2020-01-02", datetime(2020, 1, 2)),
+        ("2020-01-02T", datetime(2020, 1, 2)),
+        ("2020-1-2T3", datetime(2020, 1, 2, 3)),
+        ("2020-01-02T03:04:05Z", datetime(2020, 1, 2, 3, 4, 5)),
+        ("2020-01-02T03:04:05.678Z", datetime(2020, 1, 2, 3, 4, 5)),
+        ("2020-01", None),
+        ("2020-01-02 03:04:05", None),
+        ("2020-01-02T25:00:00", None),
+        ("2020-02-30", None),
+        ("", None),
+    ],
+)
+def test_short_and_long_time_parameters(spark, given, read):
+    assert value(spark, text.parsed_report_time(given)) == read
 
 
 def test_rate_and_rounding(spark):
