@@ -373,6 +373,20 @@ def test_neighbours(spark):
     assert nn_descent.nearest_neighbours(table.limit(0)).count() == 0
 
 
+def test_descent_goes_on_to_convergence(spark):
+    """From two orders in small blocks a single round leaves most neighbours unfound."""
+    rng = np.random.default_rng(13)
+    rows = rng.normal(size=(3000, 16))
+    table = spark.createDataFrame(list(enumerate(rows.tolist())), "vec_id long, embedding array<double>")
+    found = nn_descent.nearest_neighbours(table, one_in=30, orders=2, block=16, cell_bits=1, neighbours=12, beam=16).collect()
+    hits = 0
+    for query in range(0, 3000, 30):
+        far = ((rows - rows[query]) ** 2).sum(axis=1)
+        far[query] = np.inf
+        hits += len(set(np.argsort(far)[:10].tolist()) & {r.vec_id for r in found if r.query_id == query})
+    assert len(found) == 1000 and hits >= 970
+
+
 def test_query_digests(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     library = Tokenizer.from_file(WORD_TOKENIZER)
