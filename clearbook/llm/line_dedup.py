@@ -49,12 +49,18 @@ def repeated_starts(lines: DataFrame, min_lines: int) -> DataFrame:
 
 
 def without_repeated_runs(
-    docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
+    docs: DataFrame,
+    min_lines: int = 2,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: tuple[str, ...] = (),
+    lone_words: int | None = None,
 ) -> DataFrame:
     """``doc_id``, ``text`` without later copies of line runs, ``n_lines``, ``n_removed`` and ``n_runs`` of every row.
 
     A line goes if it lies in a run of ``min_lines`` lines or more that also
-    starts earlier: in a document of smaller id, or before in its own. Runs are
+    starts earlier: in a document of smaller id, or before in its own. With ``lone_words`` a
+    repeated run of fewer lines counts too if one of its lines has that many words. Runs are
     judged on the input, not on what is left, and don't cross documents. Lines end
     with a line feed. A null text stays null and has no lines; an empty one is one
     empty line. Null ids come before all others; rows that share id and text
@@ -73,10 +79,15 @@ def without_repeated_runs(
     lines = table.where(F.col(TEXT).isNotNull()).select("_doc", "_same", F.posexplode(split).alias("_at", "_text"))
     # Two independent hashes of a line are its id. A repeated row adds nothing.
     ids = [F.xxhash64("_text").alias("_line"), F.xxhash64(F.lit(1), "_text").alias("_line2")]
+    if lone_words is not None:
+        ids.append((F.regexp_count("_text", F.lit("\\S+")) >= lone_words).alias("_long"))
     lines = staged(lines.select(*PLACE, *ids).dropDuplicates(PLACE), "lines")
     starts = repeated_starts(lines, min_lines).select(
         "_doc", "_same", F.explode(F.sequence("_at", F.col("_at") + (min_lines - 1))).alias("_gone")
     )
+    if lone_words is not None:
+        long = repeated_starts(lines.where("_long"), 1).select("_doc", "_same", F.col("_at").alias("_gone"))
+        starts = starts.unionByName(long)
     gone = starts.groupBy("_doc", "_same").agg(F.collect_set("_gone").alias("_gone"))
     joined = table.join(gone, ["_doc", "_same"], "left")
     removed = F.coalesce("_gone", F.array().cast("array<int>"))

@@ -188,6 +188,15 @@ def test_line_runs(spark):
     assert line_dedup.without_repeated_runs(empty(spark)).count() == 0
 
 
+def test_long_lone_lines(spark):
+    long, short = " ".join(f"w{k}" for k in range(60)), " ".join(f"w{k}" for k in range(49))
+    rows = [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd"), (3, long), (4, f"{short}\ne"), (5, f"{short}\nf"), (6, f"a\n{long}\nz"), (7, f"x\n{long}\n{long}")]
+    found = line_dedup.without_repeated_runs(spark.createDataFrame(rows, SCHEMA), lone_words=50).collect()
+    assert sorted((r.doc_id, r.text, r.n_removed, r.n_runs) for r in found) == [
+        (1, rows[0][1], 0, 0), (2, "c\nd", 1, 1), (3, "", 1, 1), (4, rows[3][1], 0, 0), (5, rows[4][1], 0, 0), (6, "z", 2, 1), (7, "x", 2, 1),
+    ]
+
+
 @pytest.mark.parametrize("least", [1, 2, 3, 5])
 def test_line_runs_of_other_lengths(spark, least):
     rng = random.Random(least)
