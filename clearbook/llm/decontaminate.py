@@ -62,11 +62,17 @@ def nearest_substring(item: str, text: str, most: int) -> tuple[int, int] | None
     return best
 
 
+def within_word(text: str, at: int) -> bool:
+    """Whether a word goes on over a place; scripts from U+2E80 on are written without spaces."""
+    return 0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum() and max(text[at - 1 : at + 1]) < "\u2e80"
+
+
 class ItemIndex:
-    """The pieces of a block of items in one automaton."""
+    """The pieces of a block of items in one automaton; an item of fewer than ``least_chars`` is one piece."""
 
-    def __init__(self, items: list[Item], rate: float) -> None:
-        self._items = [(item_id, item, int(len(item) * rate)) for item_id, item in items]
+    def __init__(self, items: list[Item], rate: float, least_chars: int) -> None:
+        self._least = least_chars
+        self._items = [(item_id, item, int(len(item) * rate) if len(item) >= least_chars else 0) for item_id, item in items]
         owners: dict[str, list[tuple[int, int]]] = {}
         for k, (_, item, edits) in enumerate(self._items):
             for at, piece in cut(item, edits):
@@ -81,7 +87,11 @@ class ItemIndex:
         windows: dict[int, set[int]] = {}
         for end, (length, owners) in self._automaton.iter(text):
             for k, at in owners:
-                windows.setdefault(k, set()).add(end + 1 - length - at)
+                start = end + 1 - length - at
+                if len(self._items[k][1]) >= self._least:
+                    windows.setdefault(k, set()).add(start)
+                elif k not in windows and not within_word(text, start) and not within_word(text, end + 1):
+                    windows[k] = {start}
         for k, starts in windows.items():
             item_id, item, edits = self._items[k]
             best, reach = None, -1
@@ -98,12 +108,12 @@ class ItemIndex:
                 yield item_id, *best
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, least_chars: int, block_chars: int) -> Iterator[list[Item]]:
+def item_blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[Item]]:
     """The items in blocks of bounded size, read one after the other."""
     block, size = [], 0
     for row in id_and_text(items, id_col, text_col).distinct().toLocalIterator():
         item = plain(row[TEXT] or "")
-        if len(item) < least_chars:
+        if not item:
             continue
         block.append((row[DOC_ID], item))
         size += len(item)
@@ -128,8 +138,8 @@ def find_items(
     """Document, item, distance and place of every item that a document holds.
 
     An item may differ by ``rate`` times its characters, rounded down. Items of
-    fewer than ``least_chars`` plain characters, and null ones, take no part: they
-    say nothing about a document. Whole documents are searched; null and empty
+    fewer than ``least_chars`` plain characters count only where they stand unchanged
+    and as whole words; null and blank ones take no part. Whole documents are searched; null and empty
     ones hold nothing. For each document and item the place with the smallest
     distance (the first of these) is returned. Repeated documents are found
     each, repeated items once for each id. The benchmark is sent in blocks of
@@ -137,8 +147,8 @@ def find_items(
     """
     spark, texts = docs.sparkSession, id_and_text(docs, id_col, text_col)
     found = []
-    for block in item_blocks(items, item_id_col, item_text_col, least_chars, block_chars):
-        sent = spark.sparkContext.broadcast((block, rate))
+    for block in item_blocks(items, item_id_col, item_text_col, block_chars):
+        sent = spark.sparkContext.broadcast((block, rate, least_chars))
 
         def search(batches: Iterable[pa.RecordBatch], sent=sent, key=uuid4().hex) -> Iterator[pa.RecordBatch]:
             index = once_per_worker(("items", key), lambda: ItemIndex(*sent.value))

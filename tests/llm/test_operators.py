@@ -336,6 +336,13 @@ def test_benchmark_items(spark):
     assert decontaminate.find_items(table, benchmark.limit(0)).count() == 0
 
 
+def test_short_benchmark_items(spark):
+    items = [(1, "What is a quine?"), (2, "art"), (3, "东京在哪里"), (4, " "), (5, None), (6, "thirty characters of plain text")]
+    docs = [(1, "Q: what  is a\nQUINE? A"), (2, "a party"), (3, "the art."), (4, "我问东京在哪里吗"), (5, "what is a quin?"), (6, "thirty characters of plain texts"), (7, "partart art")]
+    found = decontaminate.find_items(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1, 0, 3, 19), (3, 2, 0, 4, 7), (4, 3, 0, 2, 7), (7, 2, 0, 8, 11)]
+
+
 def test_secret_candidates_and_forest(spark):
     rng = random.Random(11)
     rows = []
