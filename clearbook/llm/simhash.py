@@ -43,15 +43,25 @@ def fingerprint(text: bytes, shingle_words: int) -> int:
     return int(np.packbits(2 * ones > len(ends), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``fingerprint`` (a long) of every row, from its whole text; null counts as empty. No shuffle."""
+def _prints(docs: DataFrame, shingle_words: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id``, ``same`` (a hash of the text) and ``fingerprint`` of every row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint((x.as_py() or "").encode("utf-8"), shingle_words) for x in batch[TEXT]]
-            yield pa.record_batch([batch[DOC_ID], pa.array(found, pa.int64())], ["doc_id", "fingerprint"])
+            yield pa.record_batch([batch[DOC_ID], batch["same"], pa.array(found, pa.int64())], ["doc_id", "same", "fingerprint"])
+
+    table = id_and_text(docs, id_col, text_col).withColumn("same", _same(TEXT))
+    return table.mapInArrow(run, "doc_id long, same long, fingerprint long")
+
+
+def _same(text_col: str) -> Column:
+    return F.coalesce(F.xxhash64(F.col(text_col).cast("string")), F.lit(0))
+
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fingerprint long")
+def fingerprints(docs: DataFrame, shingle_words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id`` and ``fingerprint`` (a long) of every row, from its whole text; null counts as empty. No shuffle."""
+    return _prints(docs, shingle_words, id_col, text_col).select("doc_id", "fingerprint")
 
 
 def _segments(most_bits: int) -> list[tuple[int, int]]:
@@ -91,6 +101,16 @@ def close_pairs(values: DataFrame, most_bits: int = 4) -> DataFrame:
     return met.where(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _components(prints: DataFrame, most_bits: int) -> DataFrame:
+    """``fingerprint``, ``root`` (one for each component) and ``component_id`` of the distinct fingerprints."""
+    nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
+    links = close_pairs(nodes.select("fingerprint"), most_bits)
+    roots = connected(links).withColumnRenamed("node", "fingerprint")
+    placed = nodes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    firsts = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return placed.select("fingerprint", "root").join(firsts, "root").select("fingerprint", "root", "component_id")
+
+
 def near_copies(
     docs: DataFrame, shingle_words: int = 4, most_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -102,18 +122,29 @@ def near_copies(
     in, a row out; a component whose ids are all null has a null id.
     """
     prints = staged(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
-    nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
-    links = close_pairs(nodes.select("fingerprint"), most_bits)
-    roots = connected(links).withColumnRenamed("node", "fingerprint")
-    placed = nodes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    firsts = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = placed.select("fingerprint", "root").join(firsts, "root").select("fingerprint", "component_id")
+    named = _components(prints, most_bits).select("fingerprint", "component_id")
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
     return prints.join(named, "fingerprint").select("doc_id", digits, "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows whose id is the smallest of their component; rows with a null id stay."""
-    found = near_copies(docs, id_col=id_col, **options)
-    later = staged(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_later")).distinct(), "later")
-    return docs.join(later, F.col(id_col) == F.col("_later"), "left_anti")
+def one_of_each(
+    docs: DataFrame, shingle_words: int = 4, most_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each component: that of the smallest id (null after all others), then of the smallest text hash.
+
+    Rows that share an id are told apart by their texts; of rows that share both, one stays.
+    """
+    prints = staged(_prints(docs, shingle_words, id_col, text_col), "fingerprints")
+    named = _components(prints, most_bits).select("fingerprint", "root")
+    rows = prints.groupBy("doc_id", "same", "fingerprint").agg(F.count("*").alias("_n")).join(named, "fingerprint")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id").alias("_first"), F.col("same").alias("_first_same")))
+    firsts = rows.groupBy("root").agg(first.alias("_f")).select("root", "_f._first", "_f._first_same")
+    is_first = F.col("doc_id").eqNullSafe(F.col("_first")) & (F.col("same") == F.col("_first_same"))
+    told = rows.join(firsts, "root").select(F.col("doc_id").alias("_id"), F.col("same").alias("_text_hash"), is_first.alias("_is_first"), "_n")
+    # Few rows are of a kind to be dropped or thinned out, so these are what is looked up.
+    told = staged(told.where(~F.col("_is_first") | (F.col("_n") > 1)), "later")
+    here = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (_same(text_col) == F.col("_text_hash"))
+    alone = docs.join(told, here, "left_anti")
+    repeated = docs.join(told.where("_is_first"), here, "left_semi")
+    one = repeated.withColumns({"_key_id": F.col(id_col).cast("long"), "_key_same": _same(text_col)}).dropDuplicates(["_key_id", "_key_same"])
+    return alone.unionByName(one.drop("_key_id", "_key_same"))

@@ -159,6 +159,15 @@ def test_simhash(spark):
     assert simhash.near_copies(empty(spark)).count() == 0
 
 
+def test_one_row_of_each_component(spark):
+    rng = random.Random(15)
+    a, b, c, d = (" ".join(rng.choice([f"t{k}" for k in range(400)]) for _ in range(120)) for _ in range(4))
+    # Id 5 stands for a copy of 1 and a clean text; 1 is repeated; of copies with null ids one or none stays.
+    rows = [(1, a), (1, a), (5, a), (5, b), (None, a), (None, c), (None, c), (7, d), (8, d), (None, d)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, a), (5, b), (0, c), (7, d)])
+
+
 def test_close_pairs_are_complete(spark):
     rng = random.Random(6)
     values = {0, (1 << 64) - 1}
