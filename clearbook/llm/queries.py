@@ -39,7 +39,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = staged(secrets.candidates(read_table(spark, sf_dir, "documents")), "candidates")
     words = secrets.dictionary(spark, WORD_TOKENIZER)
     model = secrets.train(secrets.labelled_by_rule(found), words)
-    scanned = secrets.scan(found, words, model)
+    scanned = secrets.scan_by_rule(found) if model is None else secrets.scan(found, words, model)
     digest = F.sha2(F.col("candidate").cast("binary"), 256).alias("candidate_sha256")
     return scanned.select("doc_id", "word_at", "match_at", F.length("candidate").alias("length"), digest, "probability", "is_secret")
 

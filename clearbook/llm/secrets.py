@@ -106,18 +106,29 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     return joined.withColumns({name: value.cast("double") for name, value in values.items()}).drop("_covered")
 
 
+def _label() -> Column:
+    """One for a secret, zero for none, null where the rule can't tell."""
+    name = F.concat_ws(" ", "before2", "before", "lead").rlike(NAMES)
+    quoted = F.col("lead").rlike("[\"'`]$") & F.col("trail").rlike("^[\"'`]")
+    assigned = F.concat_ws(" ", "before2", "before", "lead").rlike("[=:]")
+    number = F.col("candidate").rlike("^[0-9-]+$")
+    label = F.when(name & quoted & assigned & ~number, 1.0).when(number | ~(name | quoted | assigned), 0.0)
+    return label
+
+
 def labelled_by_rule(found: DataFrame) -> DataFrame:
     """Findings that a narrow rule can tell for sure, as ``label``; the others are left out.
 
     A quoted value assigned to a credential's name is a secret; a plain number, or
     a value neither assigned nor quoted nor near such a name, is none.
     """
-    name = F.concat_ws(" ", "before2", "before", "lead").rlike(NAMES)
-    quoted = F.col("lead").rlike("[\"'`]$") & F.col("trail").rlike("^[\"'`]")
-    assigned = F.concat_ws(" ", "before2", "before", "lead").rlike("[=:]")
-    number = F.col("candidate").rlike("^[0-9-]+$")
-    label = F.when(name & quoted & assigned & ~number, 1.0).when(number | ~(name | quoted | assigned), 0.0)
-    return found.withColumn("label", label).where(F.col("label").isNotNull())
+    return found.withColumn("label", _label()).where(F.col("label").isNotNull())
+
+
+def scan_by_rule(found: DataFrame) -> DataFrame:
+    """As ``scan``, by the rule alone, where too few labels are there for a forest; what it can't tell counts as a secret."""
+    secret = F.coalesce(_label() == 1.0, F.lit(True)).alias("is_secret")
+    return found.select("doc_id", "word_at", "match_at", "candidate", F.lit(None).cast("double").alias("probability"), secret)
 
 
 def train(labelled: DataFrame, words: DataFrame, per_label: int = 5000, trees: int = 20, seed: int = 7) -> PipelineModel | None:

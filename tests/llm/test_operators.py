@@ -374,6 +374,13 @@ def test_secret_candidates_and_forest(spark):
     assert secrets.candidates(docs.limit(0)).count() == 0
 
 
+def test_numbers_alone_are_no_secrets(spark, tmp_path):
+    rows = [(1, "order 1234567890123456 was sent", "a"), (2, "commit 2234567890123456", "a"), (3, "token abcd1234abcd1234abcd", "a")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op2_secret_scan"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.probability, r.is_secret) for r in found) == [(1, None, False), (2, None, False), (3, None, True)]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(12)
     vectors = {k: rng.normal(size=8).tolist() for k in range(700)}
