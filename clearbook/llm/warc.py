@@ -44,21 +44,16 @@ def base32_digest(payload: Column) -> Column:
     return F.concat(*letters)
 
 
-def with_revisits(pages: DataFrame, least_bytes: int = 0, salts: int = 16) -> DataFrame:
-    """``page_id``, ``url``, ``payload``, ``digest`` and ``refers_to``, the page whose payload is the same.
+def first_of_equal(pages: DataFrame, least_bytes: int = 0, salts: int = 16) -> DataFrame:
+    """``_hash``, ``_salt`` and ``_first``: the smallest id of each payload that several pages have.
 
-    Of equal payloads of ``least_bytes`` or more, that of the smallest id is kept
-    and the others refer to it. Only repeated payloads are looked up, by SHA-256;
-    the rows of one payload are spread over ``salts`` keys. Rows that share the
-    smallest id, or that have no id among rows without one, refer to nothing.
+    Payloads of ``least_bytes`` or more count, told by SHA-256. Every row comes
+    ``salts`` times, so that the pages of one payload can be spread over as many keys.
     """
-    page = pages.select("page_id", "url", "payload", base32_digest(F.col("payload")).alias("digest"))
-    page = page.withColumn("_hash", F.sha2("payload", 256)).withColumn("_salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)))
-    bigger = page.where(F.octet_length("payload") >= least_bytes)
-    first = bigger.groupBy("_hash").agg(F.min("page_id").alias("_first"), F.count("*").alias("_copies")).where("_copies > 1")
-    first = first.select("_hash", "_first", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"))
-    refers = F.when(F.coalesce(F.col("page_id") != F.col("_first"), F.col("_first").isNotNull()), F.col("_first"))
-    return page.join(first, ["_hash", "_salt"], "left").select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
+    bigger = pages.where(F.octet_length("payload") >= least_bytes)
+    first = bigger.groupBy(F.sha2("payload", 256).alias("_hash")).agg(F.min("page_id").alias("_first"), F.count("*").alias("_copies"))
+    spread = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt")
+    return first.where("_copies > 1").select("_hash", spread, "_first")
 
 
 def record_name(page_id: int | None) -> str:
@@ -75,15 +70,15 @@ def _one_line(text: str) -> str:
     return text.replace("\r", "%0D").replace("\n", "%0A")
 
 
-def member(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, level: int = 6) -> bytes:
-    """One record as one gzip member. A revisit keeps the response's head, with the payload's length, alone."""
-    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    block = head if refers_to is not None else head + payload
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_name(page_id)}"]
+def member(page_id: int | None, url: str | None, payload: bytes | None, n_bytes: int, digest: str, refers_to: int | None, level: int = 6) -> bytes:
+    """One record as one gzip member. Without a payload it is a revisit, that keeps the response's head alone."""
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n_bytes}\r\n\r\n".encode()
+    block = head if payload is None else head + payload
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if payload is None else 'response'}", f"WARC-Record-ID: {record_name(page_id)}"]
     if url is not None:
         lines.append(f"WARC-Target-URI: {_one_line(url)}")
     lines += ["WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{digest}"]
-    if refers_to is not None:
+    if payload is None:
         lines += [f"WARC-Refers-To: {record_name(refers_to)}", f"WARC-Profile: {REVISIT_PROFILE}"]
     lines += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     packer = zlib.compressobj(level, zlib.DEFLATED, 31)
@@ -91,6 +86,52 @@ def member(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return b"".join([*parts, packer.flush()])
 
 
+PAGE_COLUMNS = ["page_id", "url", "digest", "n_bytes"]
+
+
+def members(pages: DataFrame, least_bytes: int = 0, salts: int = 16) -> DataFrame:
+    """``body``, a record as a gzip member without its last byte, and ``last``, that byte.
+
+    Of equal payloads of ``least_bytes`` or more, the page of the smallest id is a
+    response and the others revisit it. Pages that share the smallest id, or that
+    have no id among pages without one, are all responses. Payloads are packed
+    before they are shuffled to what is known of their copies, of which a revisit keeps nothing.
+    """
+    hashed = pages.select(
+        "page_id",
+        "url",
+        "payload",
+        base32_digest(F.col("payload")).alias("digest"),
+        F.octet_length("payload").cast("long").alias("n_bytes"),
+        F.sha2("payload", 256).alias("_hash"),
+        F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).alias("_salt"),
+    )
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            made = [member(*(row[c] for c in ("page_id", "url", "payload", "n_bytes", "digest")), None) for row in rows]
+            kept = [batch[c] for c in (*PAGE_COLUMNS, "_hash", "_salt")]
+            yield pa.record_batch([*kept, pa.array(made, pa.binary())], [*PAGE_COLUMNS, "_hash", "_salt", "packed"])
+
+    def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for row in batch.to_pylist():
+                if row["refers_to"] is None:
+                    made.append(row["packed"])
+                else:
+                    made.append(member(row["page_id"], row["url"], None, row["n_bytes"], row["digest"], row["refers_to"]))
+            last = pa.array([x[-1] for x in made], pa.int32())
+            yield pa.record_batch([last, pa.array([x[:-1] for x in made], pa.binary())], ["last", "body"])
+
+    packed = hashed.mapInArrow(pack, "page_id long, url string, digest string, n_bytes long, _hash string, _salt long, packed binary")
+    joined = packed.join(first_of_equal(pages, least_bytes, salts), ["_hash", "_salt"], "left")
+    repeats = F.coalesce(F.col("page_id") != F.col("_first"), F.col("_first").isNotNull())
+    refers = F.when(repeats, F.col("_first")).alias("refers_to")
+    return joined.select(*PAGE_COLUMNS, refers, F.when(refers.isNull(), F.col("packed")).alias("packed")).mapInArrow(finish, "last int, body binary")
+
+
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """One record for each page, in gzip members, in the files of folder ``path``.
 
@@ -103,17 +144,10 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, id_col: st
     ship_package(pages.sparkSession)
     html = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     named = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("payload"))
-
-    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [member(*row.values()) for row in batch.to_pylist()]
-            last = pa.array([x[-1] for x in made], pa.int32())
-            yield pa.record_batch([last, pa.array([x[:-1] for x in made], pa.binary())], ["last", "body"])
-
-    members = staged(with_revisits(named, least_bytes).mapInArrow(pack, "last int, body binary"), "members")
-    values = [last for (last,) in members.select("last").distinct().collect()]
+    made = staged(members(named, least_bytes), "members")
+    values = [last for (last,) in made.select("last").distinct().collect()]
     for last in sorted(values) or [0]:
-        rows = members.where(F.col("last") == last).select(F.col("body").cast("string").alias("value"))
+        rows = made.where(F.col("last") == last).select(F.col("body").cast("string").alias("value"))
         rows.write.mode("append").option("encoding", "ISO-8859-1").option("lineSep", chr(last)).text(path)
 
 
@@ -225,7 +259,7 @@ def byte_ranges(spark: SparkSession, path: str, range_bytes: int) -> DataFrame:
 def read_archives(spark: SparkSession, path: str, range_bytes: int = 64 << 20, payloads: bool = True) -> DataFrame:
     """Every record of the files under ``path``: its place, type, names, digest and payload.
 
-    Ranges are dealt to the tasks by hash; a file system must be one that Arrow
+    Each range is a task of its own. The file system must be one that Arrow
     opens on the executors (local, HDFS, object stores). A false start needs the
     three bytes of the magic and a whole member after it that decodes to a WARC
     header, so it needs an archive stored inside a record without compression;
@@ -260,7 +294,8 @@ def read_archives(spark: SparkSession, path: str, range_bytes: int = 64 << 20, p
             yield pa.RecordBatch.from_pylist(held, schema)
 
     ranges = byte_ranges(spark, path, range_bytes)
-    return ranges.repartition("file", "start").mapInArrow(scan, RECORDS)
+    # The number is given, as otherwise adaptive execution puts these few short rows into one task.
+    return ranges.repartition(max(1, ranges.count())).mapInArrow(scan, RECORDS)
 
 
 def outermost(records: DataFrame) -> DataFrame:

@@ -105,7 +105,7 @@ def test_every_record_has_one_owner():
         payload = rng.randbytes(rng.choice([0, 1, 400]))
         if k % 5 == 0:
             payload = (warc.MAGIC + rng.randbytes(20)) * 10
-        members.append(warc.member(k, "u", payload, digest(""), None, level=0))
+        members.append(warc.member(k, "u", payload, len(payload), digest(""), None, level=0))
     broken = members[3][:-9]
     content = b"".join([*members[:10], b"rubbish" + warc.MAGIC * 3, *members[10:20], broken, *members[20:], warc.MAGIC])
     whole = [(at, end) for at, end, _ in records_in(content, [])]
@@ -119,8 +119,8 @@ def test_every_record_has_one_owner():
 
 def test_archive_inside_a_record(spark, tmp_path):
     """A stored archive in a payload is found by the range that starts in it, and left out as not outermost."""
-    inner = b"".join(warc.member(k, "in", b"x" * 50, digest(""), None, level=0) for k in range(100, 110))
-    outer = [warc.member(k, "out", inner if k == 2 else b"y" * 30, digest(""), None, level=0) for k in range(4)]
+    inner = b"".join(warc.member(k, "in", b"x" * 50, 50, digest(""), None, level=0) for k in range(100, 110))
+    outer = [warc.member(k, "out", inner if k == 2 else b"y" * 30, 0, digest(""), None, level=0) for k in range(4)]
     (tmp_path / "a.warc.gz").write_bytes(b"".join(outer))
     records = warc.read_archives(spark, str(tmp_path), range_bytes=600)
     assert records.count() > 4
@@ -134,7 +134,7 @@ def test_other_gzip_files_and_headers():
     assert warc.parsed(b"WARC/1.0\r\nContent-Length: 99\r\n\r\nshort") is None
     fields = warc.parsed(b"WARC/1.0\r\nWARC-Type: metadata\r\nContent-Length: 4\r\n\r\nabcd\r\n\r\n")
     assert fields["record_type"] == "metadata" and fields["payload"] == b"abcd" and fields["record_id"] is None
-    assert zlib.decompress(warc.member(1, "u", b"p", "D", 2), 31).count(b"\r\n\r\n") == 3
+    assert zlib.decompress(warc.member(1, "u", None, 7, "D", 2), 31).count(b"\r\n\r\n") == 3
 
 
 def test_query(spark, sf_dir):
