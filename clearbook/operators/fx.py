@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clearbook.functions.fx import decoded_rate, rounding_difference
 from clearbook.functions.text import float_text, or_null_word
+from clearbook.operators.asof import numbered_times, with_last_mark
 from clearbook.operators.joins import lookup
+from clearbook.sources.sinks import staged
 from clearbook.sources.reference_data import RATE_FREEZE_SECONDS, registry_list
 
 Tables = Mapping[str, DataFrame]
 
-# Cells of time: the finest has 2 ** 16 seconds, each next level 16 times as many.
-FINEST_BITS, LEVEL_BITS, LEVELS = 16, 4, 6
-LAST_SECOND = (1 << (FINEST_BITS + LEVEL_BITS * LEVELS)) - 1
-# Added to seconds since 1970, so that none are negative.
-SECONDS_BEFORE = 1 << 36
+PAIR = ["sourceCurrency", "targetCurrency"]
+# Stands for the end of a rate that has none; no payment is that late.
+NO_END = "290000-01-01 00:00:00"
+# How many of the rates that start next are asked whether they replace a rate, among how many that start together.
+NEXT_STARTS, STARTS_TOGETHER = 16, 4096
 
 # Patterns of a virtual participant's name and of any identifier.
 VIRTUAL_NAME = "^DFSP[A-Z]{3}$"
@@ -71,56 +74,41 @@ def exchange_payments(ledger: Tables) -> DataFrame:
     )
 
 
-def _seconds_of(ts: Column) -> Column:
-    """Whole seconds on the axis of cells, read as UTC."""
-    days = F.datediff(ts, F.lit("1970-01-01").cast("date")).cast("long")
-    return days * 86_400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts) + SECONDS_BEFORE
+def _timeline(rates: DataFrame, freeze_seconds: int) -> tuple[DataFrame, DataFrame]:
+    """Rates from their first to their last use, and the numbered times at which the usable rates of a pair change.
+
+    The times are written, as both the rates and the payments are placed by them.
+    """
+    no_end = F.to_timestamp_ntz(F.lit(NO_END))
+    usable_to = F.coalesce(F.col("validTo") + F.lit(timedelta(seconds=freeze_seconds)), no_end)
+    value = decoded_rate(F.col("rate"), F.col("decimals")).alias("rateValue")
+    spans = rates.select(*PAIR, "rateId", "validFrom", "validTo", usable_to.alias("usableTo"), value)
+    spans = spans.where(F.col("validFrom") < F.col("usableTo"))
+    times = spans.select(*PAIR, F.explode(F.array("validFrom", "usableTo")).alias("at"))
+    return spans, staged(numbered_times(times, PAIR, "at", "number"), "rate-times")
 
 
-def _cell_of(level: int) -> Callable[[Column], Column]:
-    return lambda cell: F.struct(F.lit(level).alias("level"), cell.alias("cell"))
+def _usable_at(spans: DataFrame, times: DataFrame) -> DataFrame:
+    """Each rate with every ``number`` of its pair's times from its start to its end: one row for each rate usable then."""
+    first = times.select(*PAIR, F.col("at").alias("validFrom"), F.col("number").alias("_first"))
+    end = times.select(*PAIR, F.col("at").alias("usableTo"), F.col("number").alias("_end"))
+    placed = spans.join(first, [*PAIR, "validFrom"]).join(end, [*PAIR, "usableTo"])
+    return placed.withColumn("number", F.explode(F.sequence("_first", F.col("_end") - 1))).drop("_first", "_end")
 
 
-def _cover(first: Column, last: Column) -> Column:
-    """The fewest aligned cells that hold all seconds from first to last, rounded out to the finest cells.
+def _until_replaced(spans: DataFrame, times: DataFrame) -> DataFrame:
+    """Rates cut where a newer one that lasts as long starts, from when on they can't be in force.
 
-    On each level up to 15 cells stand on either side, whatever the length.
+    Looks among the next few starts only; a rate that is left too long changes no
+    result, as the newest of those usable is taken anyway.
     """
-    low, high = F.shiftright(first, FINEST_BITS), F.shiftright(last, FINEST_BITS) + 1
-    parts = []
-    for level in range(LEVELS):
-        width = 1 << LEVEL_BITS
-        if level == LEVELS - 1:
-            left, right = high, high
-        else:
-            left = F.least(high, F.shiftright(low + (width - 1), LEVEL_BITS) * width)
-            right = F.greatest(left, F.shiftright(high, LEVEL_BITS) * width)
-        for start, stop in ((low, left), (right, high)):
-            cells = F.when(start < stop, F.sequence(start, stop - 1)).otherwise(F.array().cast("array<bigint>"))
-            parts.append(F.transform(cells, _cell_of(level)))
-        low, high = F.shiftright(left, LEVEL_BITS), F.shiftright(right, LEVEL_BITS)
-    return F.concat(*parts)
-
-
-def _rates_met(payments: DataFrame, rates: DataFrame, freeze_seconds: int, ts: str) -> DataFrame:
-    """``transferAId`` and each usable rate of its payment."""
-    pair = ["sourceCurrency", "targetCurrency"]
-    value = decoded_rate(F.col("rate"), F.col("decimals")).alias("rateValue")
-    usable_to = (F.col("validTo") + F.lit(timedelta(seconds=freeze_seconds))).alias("usableTo")
-    rates = rates.select(*pair, "rateId", "validFrom", "validTo", usable_to, value)
-    last = F.coalesce(_seconds_of(F.col("usableTo")), F.lit(LAST_SECOND).cast("long"))
-    covered = rates.withColumn("_place", F.explode(_cover(_seconds_of(F.col("validFrom")), last)))
-    moment = F.shiftright(_seconds_of(F.col(ts)), FINEST_BITS)
-    around = F.array(
-        *(F.struct(F.lit(k).alias("level"), F.shiftright(moment, LEVEL_BITS * k).alias("cell")) for k in range(LEVELS))
-    )
-    placed = payments.select("transferAId", *pair, F.col(ts).alias("_at"), F.explode(around).alias("_place"))
-    met = placed.select("*", "_place.*").drop("_place").join(
-        covered.select("*", "_place.*").drop("_place"), [*pair, "level", "cell"]
-    )
-    in_time = (F.col("_at") >= F.col("validFrom")) & (F.col("usableTo").isNull() | (F.col("_at") < F.col("usableTo")))
-    frozen = F.coalesce(F.col("_at") >= F.col("validTo"), F.lit(False)).alias("frozen")
-    return met.where(in_time).select("transferAId", "rateId", "rateValue", "validFrom", frozen)
+    first = times.select(*PAIR, F.col("at").alias("validFrom"), F.col("number").alias("_first"))
+    together = W.partitionBy(*PAIR, F.expr(f"_first div {STARTS_TOGETHER}")).orderBy("validFrom", "rateId")
+    following = F.collect_list(F.struct("validFrom", "usableTo")).over(together.rowsBetween(1, NEXT_STARTS))
+    longer = F.filter("_following", lambda other: other["usableTo"] >= F.col("usableTo"))
+    cut = F.least("usableTo", F.get(longer, F.lit(0))["validFrom"])
+    found = spans.join(first, [*PAIR, "validFrom"]).withColumn("_following", following).withColumn("usableTo", cut)
+    return found.where(F.col("validFrom") < F.col("usableTo")).drop("_first", "_following")
 
 
 def usable_rates(
@@ -132,26 +120,35 @@ def usable_rates(
     ``validTo``; ``frozen`` marks a use past ``validTo``. A rate without end is
     usable from its start on. Payments without a usable rate keep NULLs.
 
-    The interval becomes an equality: a rate stands in the few aligned cells of
-    time, of growing sizes, that cover its interval, and a payment in the one cell
-    of each size around its time, so the two meet in one cell at most.
-    ``payments`` has a unique ``transferAId``.
+    The starts and ends of a pair's rates cut time into stretches in which the
+    usable rates are the same. An as-of merge gives each payment the number of
+    its stretch, which its rates are then joined on, so that a payment meets only
+    rates it can use. ``payments`` has a unique ``transferAId``.
     """
-    met = _rates_met(payments, rates, freeze_seconds, ts)
-    return payments.join(met, "transferAId", "left").select(
-        *payments.columns, "rateId", "rateValue", "validFrom", F.coalesce("frozen", F.lit(False)).alias("frozen")
-    )
+    spans, times = _timeline(rates, freeze_seconds)
+    marked = with_last_mark(payments, times.select(*PAIR, "at", F.struct("number").alias("mark")), PAIR, ts, "transferAId")
+    usable = _usable_at(spans, times).select(*PAIR, "number", "rateId", "rateValue", "validFrom", "validTo")
+    met = marked.withColumn("number", F.col("mark.number")).join(usable, [*PAIR, "number"], "left")
+    frozen = F.coalesce(F.col(ts) >= F.col("validTo"), F.lit(False)).alias("frozen")
+    return met.select(*payments.columns, "rateId", "rateValue", "validFrom", frozen)
 
 
 def rate_in_force(
     payments: DataFrame, rates: DataFrame, freeze_seconds: int = RATE_FREEZE_SECONDS, ts: str = "createdDate"
 ) -> DataFrame:
-    """Each payment with the usable rate that started last."""
-    newest = F.max_by(F.struct("rateId", "rateValue", "frozen"), F.struct("validFrom", "rateId")).alias("newest")
-    met = _rates_met(payments, rates, freeze_seconds, ts).groupBy("transferAId").agg(newest)
-    found = payments.join(met, "transferAId", "left")
-    frozen = F.coalesce("newest.frozen", F.lit(False)).alias("frozen")
-    return found.select(*payments.columns, "newest.rateId", "newest.rateValue", frozen)
+    """Each payment with the usable rate that started last; of several, that of the largest id.
+
+    The rate in force in each stretch of a pair's time is told from the rates
+    alone; the as-of merge then carries it to the payments.
+    """
+    spans, times = _timeline(rates, freeze_seconds)
+    newest = F.max_by(F.struct("rateId", "rateValue", "validTo"), F.struct("validFrom", "rateId")).alias("newest")
+    in_force = _usable_at(_until_replaced(spans, times), times).groupBy(*PAIR, "number").agg(newest)
+    marks = times.join(in_force, [*PAIR, "number"], "left").select(*PAIR, "at", F.struct("newest").alias("mark"))
+    marks = staged(marks, "rates-in-force")
+    marked = with_last_mark(payments, marks, PAIR, ts, "transferAId").withColumn("newest", F.col("mark.newest"))
+    frozen = F.coalesce(F.col(ts) >= F.col("newest.validTo"), F.lit(False)).alias("frozen")
+    return marked.select(*payments.columns, "newest.rateId", "newest.rateValue", frozen)
 
 
 def converted_quotes(ledger: Tables) -> DataFrame:

@@ -479,18 +479,13 @@ def derived_ledger(spark: SparkSession, sf_dir: str) -> DerivedLedger:
 
 def rate_validity(ledger: DerivedLedger) -> DataFrame:
     """One rate per currency pair and month: the month's rate of the pair."""
-    rates = [
-        F.struct(
-            (F.col("w") * 25 + s * 5 + d).alias("rateId"),
-            F.lit(ZONE_CURRENCIES[s]).alias("sourceCurrency"),
-            F.lit(ZONE_CURRENCIES[d]).alias("targetCurrency"),
-            (F.lit((s + 1) * 1250 + d * 375) + F.col("w") % 7).alias("rate"),
-            F.lit(3).alias("decimals"),
-        )
+    rates = ", ".join(
+        f"""named_struct('rateId', w * 25 + {s * 5 + d}, 'sourceCurrency', '{ZONE_CURRENCIES[s]}',
+        'targetCurrency', '{ZONE_CURRENCIES[d]}', 'rate', {(s + 1) * 1250 + d * 375} + w % 7, 'decimals', 3)"""
         for s, d in _zone_pairs()
-    ]
+    )
     return ledger.windows.select(
-        F.inline(F.array(*rates)),
+        F.expr(f"inline(array({rates}))"),
         F.col("m").alias("validFrom"),
         (F.col("m") + F.make_ym_interval(months=F.lit(1))).alias("validTo"),
     )

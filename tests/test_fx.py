@@ -1,8 +1,9 @@
+import time
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from clearbook.operators import fx, settlement, timing
+from clearbook.operators import asof, fx, settlement, timing
 from clearbook.sources import reference_data
 from clearbook.sources.derived import rate_validity
 
@@ -155,3 +156,41 @@ def test_rates_of_any_length(spark):
         fits = [r[2] for r in rows if n % 5 and r[5] <= m and (r[6] is None or (m - r[6]).total_seconds() < 30)]
         expected |= {(f"p{n}", r) for r in fits or [None]}
     assert {(r["transferAId"], r["rateId"]) for r in fx.usable_rates(payments, rates).collect()} == expected
+
+    newest = {}
+    starts = {r[2]: r[5] for r in rows}
+    for payment, rate in expected:
+        if rate is not None:
+            newest[payment] = max(rate, newest.get(payment, rate), key=lambda n: (starts[n], n))
+    found = {r["transferAId"]: r["rateId"] for r in fx.rate_in_force(payments, rates).collect()}
+    assert found == {p: newest.get(p) for p, _ in expected}
+
+
+def test_one_pair_at_one_moment(spark):
+    """A day of a pair with more rows than a piece holds is dealt to several; gaps in key or time meet nothing."""
+    rows = [(n, "EUR", "MAD", at(n % 3)) for n in range(50)] + [(50, None, "MAD", at(0)), (51, "EUR", "MAD", None), (52, "EUR", "MAD", JAN)]
+    marks = spark.createDataFrame([("EUR", "MAD", at(k), k) for k in (1, 2)] + [("XOF", "MAD", JAN, 9)], "a STRING, b STRING, at TIMESTAMP_NTZ, mark INT")
+    table = spark.createDataFrame(rows, "id INT, a STRING, b STRING, ts TIMESTAMP_NTZ")
+    for size in (1, 7, 1000):
+        found = asof.with_last_mark(table, marks, ["a", "b"], "ts", "id", rows_per_piece=size)
+        assert found.columns == ["id", "a", "b", "ts", "mark"]
+        expected = {n: (n % 3 or None) if n < 50 else None for n, *_ in rows}
+        assert {r["id"]: r["mark"] for r in found.collect()} == expected
+
+
+def test_rates_without_end_replace_each_other(spark):
+    """Many rates without end, each replaced by the next: what is in force has as many stretches as there are rates."""
+    start = datetime(2000, 1, 1)
+    rates = spark.createDataFrame([(n, "EUR", "MAD", n, 0, start + timedelta(minutes=n), None) for n in range(500)], RATES)
+    spans, times = fx._timeline(rates, 30)
+    assert fx._usable_at(fx._until_replaced(spans, times), times).count() == 500
+    found = fx.rate_in_force(payments(spark, *(start + timedelta(minutes=n, seconds=5) for n in range(-1, 500))), rates)
+    assert sorted((r["createdDate"], r["rateId"]) for r in found.collect()) == [(start + timedelta(minutes=n, seconds=5), n if n >= 0 else None) for n in range(-1, 500)]
+
+
+def test_rate_plans_stay_small(ledger):
+    some = fx.exchange_payments(ledger).drop("transferBId", "amount")
+    for query in (fx.usable_rates, fx.rate_in_force):
+        started = time.perf_counter()
+        text = query(some, rate_validity(ledger))._jdf.queryExecution().executedPlan().toString()
+        assert len(text) < 100_000 and time.perf_counter() - started < 30
