@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from clearbook.functions.text import iso_millis, or_null_word
 from clearbook.operators.joins import left_join_if_present, lookup
+from clearbook.sources.periods import of_quotes_between
 
 Tables = Mapping[str, DataFrame]
 
@@ -168,6 +169,7 @@ def _shared_columns() -> list[Column]:
 
 def dfsp_transfer_core(ledger: Tables, start: Column, end: Column, fsp_id: str) -> DataFrame:
     """Transfers one participant pays or receives, seen as either exchange leg."""
+    ledger = of_quotes_between(ledger, start, end)
     leg_a = F.coalesce("legAOfA", "legAOfB")
     return (
         quoted_transfers(ledger, start, end)
@@ -194,6 +196,7 @@ def hub_transfer_core(ledger: Tables, start: Column, end: Column) -> DataFrame:
 
     A missing receiver fails the comparison and drops the row.
     """
+    ledger = of_quotes_between(ledger, start, end)
     second_quote = ledger["fxQuote"].select(F.col("fxQuoteId").alias("secondQuoteKey"), "sourceFSP")
     return (
         quoted_transfers(ledger, start, end)

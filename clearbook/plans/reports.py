@@ -35,9 +35,12 @@ from clearbook.operators.transfers import (
     quoted_transfers,
     quotes_between,
 )
+from clearbook.sources.periods import of_quotes_between, of_window
 
 Tables = Mapping[str, DataFrame]
 
+# The columns of the reports, in their order, are those their users know.
+
 
 def fx_amounts(core: DataFrame, ledger: Tables) -> DataFrame:
     """Add the quoted amounts, the decoded rate and the rate set to a transfer core."""
@@ -114,6 +117,7 @@ def daily_dfsp_transactions(
     ledger: Tables, start: str | datetime, end: str | datetime, fsp_id: str
 ) -> DataFrame:
     """Transfers one participant paid or received, both exchange legs on each row."""
+    ledger = of_quotes_between(ledger, report_time(start), report_time(end))
     core = dfsp_transfer_core(ledger, report_time(start), report_time(end), fsp_id)
     report = _assembled(core, ledger).select(
         "senderDFSPName",
@@ -138,6 +142,7 @@ def daily_dfsp_transactions(
 
 
 def _hub_transactions(ledger: Tables, start: str | datetime, end: str | datetime) -> DataFrame:
+    ledger = of_quotes_between(ledger, report_time(start), report_time(end))
     core = hub_transfer_core(ledger, report_time(start), report_time(end))
     return _assembled(core, ledger).select(
         "senderDFSPName",
@@ -237,6 +242,8 @@ def _reconciliation_rows(
     fsp_id: str | None = None,
     settlement_window_id: int | None = None,
 ) -> DataFrame:
+    ledger = of_quotes_between(ledger, parsed_report_time(start), parsed_report_time(end))
+
     def owner(side: str) -> DataFrame:
         return ledger["participant"].select(
             F.col("participantId").alias(f"{side}Id"), F.col("name").alias(f"{side}Name")
@@ -319,6 +326,7 @@ def hub_transactions_legacy(ledger: Tables, start: str, end: str) -> DataFrame:
 
 def reconciliation_amounts(ledger: Tables, participant_id: int, settlement_window_id: int) -> DataFrame:
     """What one participant sent to and received from each other in a closed window."""
+    ledger = of_window(ledger, settlement_window_id)
     in_window = ledger["transferFulfilment"].where(F.col("settlementWindowId") == settlement_window_id)
     times = ledger["settlementWindow"].select("settlementWindowId").join(window_state_pairs(ledger), "settlementWindowId")
     pairs = named_pairs(ledger, within=in_window).where(
@@ -352,6 +360,7 @@ def reconciliation_amounts(ledger: Tables, participant_id: int, settlement_windo
 
 def dfsp_transactions_legacy(ledger: Tables, fsp_id: str, start: str, end: str) -> DataFrame:
     """The earlier participant report: ledger names and amounts, no rate, not distinct."""
+    ledger = of_quotes_between(ledger, parsed_report_time(start), parsed_report_time(end))
     settlements = settlement_details(ledger)
     states = reported_transfer_state(ledger).select(
         "transferId", F.col("enumeration").alias("status"), F.col("createdDate").alias("changedAt")

@@ -7,8 +7,8 @@ exchange payment with leg ``A<k>`` and, unless its priority is ``5-LOW``, a
 second leg ``B<k>``.
 
 The order-sized tables are written once per application to the shared folder,
-bucketed on the id they are joined on and sorted within each bucket, so the
-reports merge them without shuffling or sorting them again. The window and settlement tables have a few rows per month.
+in folders by the period of the payment and bucketed on the id they are joined on,
+so the reports read only the periods of their quotes and merge tables without shuffling them. The window and settlement tables have a few rows per month.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from clearbook.operators.joins import lookup
 from clearbook.session import run_folder
+from clearbook.sources.periods import period_of, without_layout
 from clearbook.sources.quote_facts import quote_facts
 from clearbook.sources.reference_data import ZONE_NAMES
 from clearbook.sources.schemas import LEDGER_COLUMNS
@@ -45,8 +46,16 @@ def _seconds(count: int) -> Column:
     return F.lit(timedelta(seconds=count))
 
 
-def payment_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per transfer: domestic, exchange leg A or exchange leg B."""
+def quoted_at(ts: str) -> Column:
+    """When the quote of a transfer was made."""
+    return F.col(ts) - _seconds(5)
+
+
+def payment_legs(spark: SparkSession, sf_dir: str, unit: str = "year") -> DataFrame:
+    """One row per transfer: domestic, exchange leg A or exchange leg B.
+
+    ``period`` is the first day of the year, month or day in which the payment's quotes are made.
+    """
 
     def read(table: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -107,12 +116,14 @@ def payment_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("pri") != "5-LOW", F.array(first, second))
         .otherwise(F.array(first))
     )
-    kept = ["k", "ts", "st", "pri", "pn", "en", "pname", "ename", "pr", "er", "payerParty", "payeeParty", "amt"]
+    payments = payments.withColumn("period", period_of(quoted_at("ts"), unit))
+    kept = ["period", "k", "ts", "st", "pri", "pn", "en", "pname", "ename", "pr", "er", "payerParty", "payeeParty", "amt"]
     return payments.select(*kept, F.inline(legs))
 
 
 def _transfer(legs: DataFrame) -> DataFrame:
     return legs.select(
+        "period",
         "transferId",
         F.col("amt").alias("amount"),
         _currency("cur").alias("currencyId"),
@@ -130,20 +141,22 @@ def _transfer_participant(legs: DataFrame) -> DataFrame:
             amount.cast("decimal(18,4)").alias("amount"),
         )
 
-    return legs.select(F.inline(F.array(line(1, "payerPid", F.col("amt")), line(2, "payeePid", -F.col("amt")))))
+    return legs.select("period", F.inline(F.array(line(1, "payerPid", F.col("amt")), line(2, "payeePid", -F.col("amt")))))
 
 
 def _quote(legs: DataFrame) -> DataFrame:
     return legs.select(
+        "period",
         "quoteId",
         F.when(F.col("pri") == "1-URGENT", F.concat(F.lit("TR"), "k")).alias("transactionRequestId"),
         F.when(F.col("k") % 5 == 0, 2).otherwise(1).alias("transactionScenarioId"),
-        (F.col("ts") - _seconds(5)).alias("createdDate"),
+        quoted_at("ts").alias("createdDate"),
+        F.col("period").alias("quotedIn"),
     )
 
 
 def _transaction_reference(legs: DataFrame) -> DataFrame:
-    return legs.select("quoteId", F.col("transferId").alias("transactionReferenceId"))
+    return legs.select("period", "quoteId", F.col("transferId").alias("transactionReferenceId"))
 
 
 def _quote_party(legs: DataFrame) -> DataFrame:
@@ -161,12 +174,13 @@ def _quote_party(legs: DataFrame) -> DataFrame:
 
     payer = party(1, "pn", "pname", "payerParty", F.col("amt"))
     payee = party(2, "en", "ename", "payeeParty", -F.col("amt"))
-    return legs.select(F.inline(F.array(payer, payee)))
+    return legs.select("period", F.inline(F.array(payer, payee)))
 
 
 def _quote_response(legs: DataFrame) -> DataFrame:
     converted = F.col("leg") == 1
     return legs.select(
+        "period",
         "quoteId",
         _currency("cur").alias("transferAmountCurrencyId"),
         F.col("amt").alias("transferAmount"),
@@ -180,6 +194,7 @@ def _fx_transaction(legs: DataFrame) -> DataFrame:
         return F.concat(F.lit(prefix), F.col("k"))
 
     return legs.where(F.col("leg") == 2).select(
+        "period",
         tagged("A").alias("transferAId"),
         F.col("transferId").alias("transferBId"),
         tagged("QA").alias("fxQuoteAId"),
@@ -190,6 +205,7 @@ def _fx_transaction(legs: DataFrame) -> DataFrame:
 
 def _fx_quote(legs: DataFrame) -> DataFrame:
     return legs.where(F.col("leg") == 2).select(
+        "period",
         F.concat(F.lit("FX"), "k").alias("fxQuoteId"), F.concat(F.lit("DFSP"), _currency("er")).alias("sourceFSP")
     )
 
@@ -211,7 +227,7 @@ def _transfer_state_change(legs: DataFrame) -> DataFrame:
             F.when(_aborted(), change(3, "ABORTED_ERROR")),
         )
     )
-    return legs.select(F.inline(history))
+    return legs.select("period", F.inline(history))
 
 
 def _aborted() -> Column:
@@ -219,7 +235,7 @@ def _aborted() -> Column:
 
 
 def _transfer_error(legs: DataFrame) -> DataFrame:
-    return legs.where(_aborted()).select("transferId", F.lit("4001").alias("errorCode"))
+    return legs.where(_aborted()).select("period", "transferId", F.lit("4001").alias("errorCode"))
 
 
 def _month_number(ts: str) -> Column:
@@ -227,8 +243,9 @@ def _month_number(ts: str) -> Column:
 
 
 def _transfer_fulfilment(legs: DataFrame) -> DataFrame:
+    window = F.when(F.col("k") % 11 != 0, _month_number("ts"))
     return legs.where(F.col("st") == "F").select(
-        "transferId", F.when(F.col("k") % 11 != 0, _month_number("ts")).alias("settlementWindowId")
+        "period", "transferId", window.alias("settlementWindowId"), window.alias("inWindow")
     )
 
 
@@ -248,9 +265,12 @@ STORED: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
     "quoteFacts": (quote_facts, "quoteId"),
 }
 
-# Tables that reports select from by time: sorted by it within a bucket, so that a
-# daily report reads only the row groups and pages of its day.
+# What lies in folders of its own: rows by the period of their payment, quotes by that in which
+# they were made, fulfilments also by their settlement window. Quotes are sorted by time in a file.
+PARTITIONED = {"quote": ["quotedIn"], "transferFulfilment": ["period", "inWindow"]}
 SORTED = {"quote": "createdDate"}
+# Input bytes up to which a period is a year, and a month; beyond, it is a day.
+BYTES_BY_YEAR, BYTES_BY_MONTH = 64 << 30, 1 << 40
 
 # The lookup tables that hold no more than these rows.
 LOOKUPS: dict[str, list[tuple]] = {
@@ -302,17 +322,22 @@ def _input_size(spark: SparkSession, path: str) -> tuple[int, int]:
 class DerivedLedger(Mapping[str, DataFrame]):
     """The ledger over one data folder; stored tables are written on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, unit: str | None = None):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
         self.folder = run_folder(spark, "ledger")
         input_bytes = sum(
             _input_size(spark, f"{self.sf_dir}/{t}.parquet")[0] for t in ("orders", "lineitem", "customer", "supplier")
         )
         self.buckets = max(FEWEST_BUCKETS, input_bytes // BYTES_PER_BUCKET)
+        self.unit = unit or ("year" if input_bytes <= BYTES_BY_YEAR else "month" if input_bytes <= BYTES_BY_MONTH else "day")
         self._built: dict[str, DataFrame] = {}
         self._tables: list[str] = []
 
     def __getitem__(self, name: str) -> DataFrame:
+        return without_layout(self.stored(name), name)
+
+    def stored(self, name: str) -> DataFrame:
+        """A table with the columns that say where its rows lie."""
         if name not in self._built:
             if name in STORED:
                 self._built[name] = self._store(name)
@@ -347,7 +372,7 @@ class DerivedLedger(Mapping[str, DataFrame]):
     @cached_property
     def legs(self) -> DataFrame:
         path = f"{self.folder}/legs"
-        payment_legs(self.spark, self.sf_dir).write.parquet(path)
+        payment_legs(self.spark, self.sf_dir, self.unit).write.parquet(path)
         return self.spark.read.parquet(path)
 
     @cached_property
@@ -359,16 +384,12 @@ class DerivedLedger(Mapping[str, DataFrame]):
     def _store(self, name: str) -> DataFrame:
         derive, key = STORED[name]
         table = f"clearbook_{self.folder.rsplit('-', 1)[1]}_{name}"
-        (
-            derive(self.legs)
-            .repartition(self.buckets, key)
-            .write.mode("overwrite")
-            .format("parquet")
-            .bucketBy(self.buckets, key)
-            .sortBy(SORTED.get(name, key))
-            .option("path", f"{self.folder}/{name}")
-            .saveAsTable(table)
-        )
+        rows = derive(self.legs)
+        writer = rows.repartition(self.buckets, key).write.mode("overwrite").format("parquet")
+        places = PARTITIONED.get(name, ["period"] if "period" in rows.columns else [])
+        if places:
+            writer = writer.partitionBy(*places)
+        writer.bucketBy(self.buckets, key).sortBy(SORTED.get(name, key)).option("path", f"{self.folder}/{name}").saveAsTable(table)
         self._tables.append(table)
         return self.spark.table(table)
 
@@ -463,7 +484,7 @@ class DerivedLedger(Mapping[str, DataFrame]):
 _LEDGERS: dict[tuple, DerivedLedger] = {}
 
 
-def derived_ledger(spark: SparkSession, sf_dir: str) -> DerivedLedger:
+def derived_ledger(spark: SparkSession, sf_dir: str, unit: str | None = None) -> DerivedLedger:
     """The ledger over ``sf_dir``, shared by the queries of one application.
 
     The key holds the inputs' size and time, so changed inputs give a new ledger.
@@ -471,9 +492,9 @@ def derived_ledger(spark: SparkSession, sf_dir: str) -> DerivedLedger:
     inputs = tuple(
         _input_size(spark, f"{sf_dir}/{t}.parquet") for t in ("nation", "customer", "supplier", "orders", "lineitem")
     )
-    key = (spark.sparkContext.applicationId, sf_dir, inputs)
+    key = (spark.sparkContext.applicationId, sf_dir, inputs, unit)
     if key not in _LEDGERS:
-        _LEDGERS[key] = DerivedLedger(spark, sf_dir)
+        _LEDGERS[key] = DerivedLedger(spark, sf_dir, unit)
     return _LEDGERS[key]
 
 

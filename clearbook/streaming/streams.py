@@ -16,12 +16,14 @@ from clearbook.operators.timing import FULFIL_TIMEOUT_SECONDS, FULFILLED, PREPAR
 
 
 def parquet_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A Parquet file, or a folder of them, as a stream.
+    """A Parquet file, or a folder of them with the folders in it, as a stream.
 
     The last letter is written as a glob: a plain path would have to be a folder.
+    Columns that only the names of folders hold are not read.
     """
     path = path.rstrip("/")
-    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, schema: str) -> DataFrame:
