@@ -365,6 +365,14 @@ def oracle_sql() -> dict[str, str]:
         "hub_daily_txn": statement(_report("hubCore", _HUB_COLUMNS, "p.receivedCurrency", hub_status), DETAILS, *hub),
         "hub_daily_txn_anon": statement(
             _report("hubCore", _HUB_COLUMNS, "p.receivedCurrency", hub_status, identifiers=False), DETAILS, *hub),
+        "hub_daily_txn_catalog": statement(_report("hubCore", _HUB_COLUMNS, "p.receivedCurrency", hub_status), DETAILS, *hub),
+        "dfsp_daily_txn_ordered": statement(
+            "SELECT *, row_number() OVER (ORDER BY createdDate, currentTransferID) AS ordinal FROM (" + _report(
+                "dfspCore", _DFSP_COLUMNS, "CASE WHEN p.receivedCurrency IS NULL THEN p.sentCurrency ELSE p.receivedCurrency END",
+                "CASE WHEN sb.word IS NULL THEN sa.word ELSE sb.word END") + ")", DETAILS, *dfsp),
+        # The receiver is the second kind of party, which has two entries there.
+        "dfsp_daily_txn_legacy_parties": statement(
+            f"SELECT r.* FROM ({DFSP_LEGACY}) r JOIN (VALUES (1), (2)) AS entry(n) ON true", DETAILS, QUOTED),
         "settlement_window": statement(SETTLEMENT_WINDOW),
         "report_csv": statement(SETTLEMENT_WINDOW),
         "hub_report_csv": statement(_report("hubCore", _HUB_COLUMNS, "p.receivedCurrency", hub_status), DETAILS, *hub),
@@ -377,6 +385,7 @@ def oracle_sql() -> dict[str, str]:
         "transfer_core_dfsp": statement("SELECT * FROM dfspCore", *dfsp),
         "transfer_core_hub": statement("SELECT * FROM hubCore", *hub),
         "latest_transfer_state": statement("SELECT transferId, state AS transferStateId, createdDate FROM latest"),
+        "stream_transfer_states": statement("SELECT transferId, state AS transferStateId, createdDate FROM latest"),
         "leg_a_states": statement(
             """SELECT transferId, state AS transferStateId, createdDate, word AS enumeration FROM shown s
             WHERE EXISTS (SELECT 1 FROM dfspCore c WHERE c.legATransferId = s.transferId

@@ -42,3 +42,18 @@ def left_join_if_present(
         .join(other, (F.col(left_hash) == F.col(right_hash)) & (F.col(key) == F.col(right_key)), "left")
         .drop(left_hash, right_hash, right_key)
     )
+
+
+def repeated_as_matched(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
+    """What a left join with ``other`` does to the rows, where none of its columns is used.
+
+    A row comes once for each row of ``other`` with its key, and once without any.
+    Only keys that ``other`` has several times matter. Spark knows at run time
+    whether there are any: if not, the table joined is empty and the join goes.
+    """
+    copies, matched = "_copies", "_repeated_key"
+    repeated = other.groupBy(F.col(other_key).alias(matched)).agg(F.count("*").alias(copies))
+    repeated = repeated.where((F.col(copies) > 1) & F.col(matched).isNotNull())
+    joined = df.join(repeated, F.col(key) == F.col(matched), "left")
+    times = F.sequence(F.lit(1).cast("long"), F.coalesce(copies, F.lit(1).cast("long")))
+    return joined.withColumn("_copy", F.explode(times)).drop("_copy", copies, matched)

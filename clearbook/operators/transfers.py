@@ -91,7 +91,7 @@ def quotes_between(ledger: Tables, start: Column | None, end: Column | None) ->
 
 
 def quote_side(ledger: Tables, party: str, side: str) -> DataFrame:
-    """The quote's parties of one kind: ``<side>Fsp`` and ``<side>Identifier``."""
+    """The quote's parties of one kind: ``<side>Fsp``, ``<side>Identifier`` and ``<side>PartyType``."""
     kind = ledger["partyType"].where(F.col("name") == party).select("partyTypeId")
     return (
         ledger["quoteParty"]
@@ -100,6 +100,7 @@ def quote_side(ledger: Tables, party: str, side: str) -> DataFrame:
             "quoteId",
             F.col("fspId").alias(f"{side}Fsp"),
             F.col("partyIdentifierValue").alias(f"{side}Identifier"),
+            F.col("partyTypeId").alias(f"{side}PartyType"),
         )
     )
 

@@ -19,7 +19,8 @@ from clearbook.functions.text import (
     report_time,
     when_settled,
 )
-from clearbook.operators.joins import left_join_if_present, lookup
+from clearbook.operators.joins import left_join_if_present, lookup, repeated_as_matched
+from clearbook.operators.ordering import with_ordinals
 from clearbook.operators.settlement import settlement_details, with_settlement
 from clearbook.operators.states import (
     latest_transfer_state,
@@ -141,6 +142,12 @@ def daily_dfsp_transactions(
     return report.distinct().orderBy("createdDate")
 
 
+def in_report_order(report: DataFrame, transfer: str) -> DataFrame:
+    """A daily report with ``ordinal``, its order by time of transfer as a column; ties by transfer, then by the rest."""
+    rest = [c for c in report.columns if c not in ("createdDate", transfer)]
+    return with_ordinals(report, ["createdDate", transfer, *rest])
+
+
 def _hub_transactions(ledger: Tables, start: str | datetime, end: str | datetime) -> DataFrame:
     ledger = of_quotes_between(ledger, report_time(start), report_time(end))
     core = hub_transfer_core(ledger, report_time(start), report_time(end))
@@ -359,7 +366,10 @@ def reconciliation_amounts(ledger: Tables, participant_id: int, settlement_windo
 
 
 def dfsp_transactions_legacy(ledger: Tables, fsp_id: str, start: str, end: str) -> DataFrame:
-    """The earlier participant report: ledger names and amounts, no rate, not distinct."""
+    """The earlier participant report: ledger names and amounts, no rate, not distinct.
+
+    Rows repeat if the quoted receiver's kind of party has several entries in ``party``.
+    """
     ledger = of_quotes_between(ledger, parsed_report_time(start), parsed_report_time(end))
     settlements = settlement_details(ledger)
     states = reported_transfer_state(ledger).select(
@@ -373,6 +383,7 @@ def dfsp_transactions_legacy(ledger: Tables, fsp_id: str, start: str, end: str)
         .join(exchange_as_first_leg(ledger), "transferId", "left")
         .join(exchange_as_second_leg(ledger), "transferId", "left")
     )
+    rows = repeated_as_matched(rows, "receiverPartyType", ledger["party"], "partyId")
     return rows.select(
         "quoteId",
         F.col("payerName").alias("senderDFSPId"),

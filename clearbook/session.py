@@ -44,7 +44,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def run_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for one job's output, under the shared folder."""
+_OWNED: set[tuple[str, str]] = set()
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The path and the file system it lies in."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def application_folder(spark: SparkSession) -> str:
+    """This application's folder under the shared folder; it is removed when the driver's JVM ends."""
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/clearbook/{app}/{purpose}-{uuid.uuid4().hex[:12]}"
+    folder = f"{shared_folder(spark)}/clearbook/{app}"
+    if (app, folder) not in _OWNED:
+        target, fs = file_system(spark, folder)
+        fs.mkdirs(target)
+        fs.deleteOnExit(target)
+        _OWNED.add((app, folder))
+    return folder
+
+
+def run_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder for one job's output, under the application's folder."""
+    return f"{application_folder(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"

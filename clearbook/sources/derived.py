@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearbook.operators.joins import lookup
-from clearbook.session import run_folder
+from clearbook.session import file_system, run_folder
 from clearbook.sources.periods import period_of, without_layout
 from clearbook.sources.quote_facts import quote_facts
 from clearbook.sources.reference_data import ZONE_NAMES
@@ -272,6 +272,9 @@ SORTED = {"quote": "createdDate"}
 # Input bytes up to which a period is a year, and a month; beyond, it is a day.
 BYTES_BY_YEAR, BYTES_BY_MONTH = 64 << 30, 1 << 40
 
+# Tables of other services, and what their namespace's name ends with.
+ELSEWHERE = {"fxTransaction": "adapter", "fxQuote": "adapter", "exchange_channel_rates": "rates", "citiExchangeRate": "rates"}
+
 # The lookup tables that hold no more than these rows.
 LOOKUPS: dict[str, list[tuple]] = {
     "transferParticipantRoleType": [(1, "PAYER_DFSP"), (2, "PAYEE_DFSP"), (3, "HUB")],
@@ -307,15 +310,9 @@ def literal_table(spark: SparkSession, columns: str, rows: list[tuple]) -> DataF
     return table.select(*[F.col(n).cast(t).alias(n) for n, t in zip(names, types)])
 
 
-def _file_system(spark: SparkSession, path: str) -> tuple:
-    """The path and the file system it lies in."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def _input_size(spark: SparkSession, path: str) -> tuple[int, int]:
     """Bytes and last change of an input, from the file system's listing."""
-    target, fs = _file_system(spark, path)
+    target, fs = file_system(spark, path)
     return fs.getContentSummary(target).getLength(), fs.getFileStatus(target).getModificationTime()
 
 
@@ -332,6 +329,10 @@ class DerivedLedger(Mapping[str, DataFrame]):
         self.unit = unit or ("year" if input_bytes <= BYTES_BY_YEAR else "month" if input_bytes <= BYTES_BY_MONTH else "day")
         self._built: dict[str, DataFrame] = {}
         self._tables: list[str] = []
+        self._registered: dict[str, str] = {}
+        self._small: set[str] = set()
+        self._namespaces: list[str] = []
+        self._views: list[str] = []
 
     def __getitem__(self, name: str) -> DataFrame:
         return without_layout(self.stored(name), name)
@@ -391,13 +392,44 @@ class DerivedLedger(Mapping[str, DataFrame]):
             writer = writer.partitionBy(*places)
         writer.bucketBy(self.buckets, key).sortBy(SORTED.get(name, key)).option("path", f"{self.folder}/{name}").saveAsTable(table)
         self._tables.append(table)
+        self._registered[name] = table
         return self.spark.table(table)
 
+    def in_namespaces(self) -> tuple[str, dict[str, str]]:
+        """The ledger as views of a catalog: the hub's namespace, and that of each table kept elsewhere.
+
+        Exchange payments and rates lie in namespaces of their own, as they belong to other services.
+        """
+        base = f"clearbook_{self.folder.rsplit('-', 1)[1]}"
+        others = {name: f"{base}_{suffix}" for name, suffix in ELSEWHERE.items()}
+        for namespace in {base, *others.values()} - set(self._namespaces):
+            self.spark.sql(f"CREATE DATABASE {namespace} LOCATION '{self.folder}/{namespace}'")
+            self._namespaces.append(namespace)
+        for name in self:
+            view = f"{others.get(name, base)}.{name}"
+            if view not in self._views:
+                self.stored(name)
+                source = self._registered.get(name) or f"parquet.`{self._written(name)}`"
+                columns = ", ".join(c.split()[0] for c in LEDGER_COLUMNS[name].split(", "))
+                self.spark.sql(f"CREATE VIEW {view} AS SELECT {columns} FROM {source}")
+                self._views.append(view)
+        return base, others
+
+    def _written(self, name: str) -> str:
+        """Folder of a small table, written if it only is a plan."""
+        path = f"{self.folder}/{name}"
+        if name not in self._small:
+            self[name].write.mode("overwrite").parquet(path)
+            self._small.add(name)
+        return path
+
     def close(self) -> None:
-        """Drop the registered tables and remove the folder; the next use of the data derives it anew."""
+        """Drop the registered tables and namespaces and remove the folder; the next use of the data derives it anew."""
+        for namespace in self._namespaces:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {namespace} CASCADE")
         for table in self._tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        target, fs = _file_system(self.spark, self.folder)
+        target, fs = file_system(self.spark, self.folder)
         fs.delete(target, True)
         for key in [k for k, ledger in _LEDGERS.items() if ledger is self]:
             del _LEDGERS[key]
@@ -405,6 +437,7 @@ class DerivedLedger(Mapping[str, DataFrame]):
     def _store_small(self, name: str, rows: DataFrame) -> DataFrame:
         path = f"{self.folder}/{name}"
         rows.write.parquet(path)
+        self._small.add(name)
         return self.spark.read.parquet(path)
 
     # The small tables: participants, rates, and whatever follows the windows.

@@ -6,8 +6,14 @@ aggregating ones are the batch operators themselves.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from datetime import timedelta
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 from clearbook.operators.rules import event_rows, quote_events
 from clearbook.operators.settlement import settlement_day_totals
@@ -15,7 +21,7 @@ from clearbook.operators.states import latest_by
 from clearbook.operators.timing import FULFIL_TIMEOUT_SECONDS, FULFILLED, PREPARED, seconds
 
 
-def parquet_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def parquet_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
     """A Parquet file, or a folder of them with the folders in it, as a stream.
 
     The last letter is written as a glob: a plain path would have to be a folder.
@@ -23,6 +29,8 @@ def parquet_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """
     path = path.rstrip("/")
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
@@ -60,9 +68,46 @@ def quote_event_stream(facts: DataFrame, rules: list[dict] | None = None) -> Dat
     return event_rows(quote_events(facts, rules))
 
 
-def latest_state_stream(changes: DataFrame, entity: str, order: str, values: list[str]) -> DataFrame:
-    """Latest state change per entity, for update mode. State: one row per entity."""
-    return latest_by(changes, entity, order, values)
+def latest_state_stream(
+    changes: DataFrame,
+    entity: str,
+    order: str,
+    values: list[str],
+    ts: str | None = None,
+    expiry: timedelta | None = None,
+    lateness: str = "1 hour",
+) -> DataFrame:
+    """Latest state change per entity, for update mode.
+
+    Without ``expiry`` the state is one row per entity, for good. With it, an entity
+    is forgotten once the watermark (the newest ``ts`` seen, less ``lateness``) is more
+    than ``expiry`` past its last change: nothing is given out then, and a
+    later change of it, whatever its order, counts as its first. So ``expiry`` is
+    to be longer than an entity lives.
+    """
+    if expiry is None:
+        return latest_by(changes, entity, order, values)
+    moment, keep_ms = "_moment", int(expiry.total_seconds() * 1000)
+    timed = changes.select(entity, order, *values, as_instant(F.col(ts)).alias(moment)).withWatermark(moment, lateness)
+    result = changes.select(entity, *values).schema
+    kept = StructType([changes.schema[order], *result.fields[1:], StructField("last_ms", LongType())])
+
+    def newest(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = state.get if state.exists else None
+        for part in parts:
+            row = part.loc[part[order].idxmax()]
+            last = max(int(part[moment].max().value // 1_000_000), best[-1] if best else 0)
+            found = (row[order].item(), *(row[c].to_pydatetime() if hasattr(row[c], "to_pydatetime") else row[c] for c in values))
+            best = (*(found if best is None or found[0] > best[0] else best[:-1]), last)
+        state.update(best)
+        state.setTimeoutTimestamp(max(best[-1] + keep_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame([[key[0], *best[1:-1]]], columns=[entity, *values])
+
+    grouped = timed.groupBy(entity)
+    return grouped.applyInPandasWithState(newest, result, kept, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def settlement_day_stream(transfers: DataFrame, by: list[str], ts: str, lateness: str) -> DataFrame:

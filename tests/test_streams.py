@@ -1,5 +1,6 @@
 """Streams against their batch twins, over several files and batches."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -94,3 +95,50 @@ def test_instants_are_exact_where_clocks_change(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert all(r["back"] == r["ts"] for r in found)
     assert {r["ts"]: r["micros"] for r in found} == {m: (m - datetime(1970, 1, 1)) // timedelta(microseconds=1) for m in moments}
+
+
+def test_state_of_quiet_entities_expires(spark, tmp_path):
+    """Each day brings new transfers: with an expiry the state stays at a few days of them, and results are the same."""
+    columns = LEDGER_COLUMNS["transferStateChange"]
+    day = datetime(2020, 1, 1)
+    for n in range(8):
+        rows = [(n * 100 + k * 2 + s, f"T{n}-{k}", state, day + timedelta(days=n, hours=s)) for k in range(5) for s, state in ((1, "COMMITTED"), (0, "RESERVED"))]
+        rows.append((n * 100 + 99, "steady", f"S{n}", day + timedelta(days=n)))
+        spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(str(tmp_path / "changes"))
+        # Files are taken in order of their time.
+        newest = max((tmp_path / "changes").glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+        os.utime(newest, (1_600_000_000 + n * 60,) * 2)
+    sizes, found = {}, {}
+    for expiry in (None, timedelta(days=2)):
+        changes = streams.parquet_stream(spark, str(tmp_path / "changes"), columns, files_per_batch=1)
+        latest = streams.latest_state_stream(
+            changes, "transferId", "transferStateChangeId", ["transferStateId", "createdDate"], "createdDate", expiry
+        )
+        out, place = {}, tmp_path / f"checkpoint-{expiry is None}"
+        with runs.stream_settings(spark):
+            query = (
+                latest.writeStream.foreachBatch(lambda batch, _, out=out: out.update({r["transferId"]: tuple(r) for r in batch.collect()}))
+                .outputMode("update").option("checkpointLocation", str(place)).trigger(availableNow=True).start()
+            )
+            query.awaitTermination()
+        sizes[expiry] = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        found[expiry] = out
+    assert max(sizes[None]) == 41 and sizes[None][-1] == 41
+    assert max(sizes[timedelta(days=2)]) < 25 and sizes[timedelta(days=2)][-1] < max(sizes[timedelta(days=2)])
+    assert found[None] == found[timedelta(days=2)]
+    assert found[None]["T3-1"] == ("T3-1", "COMMITTED", day + timedelta(days=3, hours=1)) and found[None]["steady"][1] == "S7"
+
+
+def test_an_entity_that_comes_back_after_its_expiry_is_new(spark, tmp_path):
+    columns = LEDGER_COLUMNS["transferStateChange"]
+    day = datetime(2020, 1, 1)
+    for n, row in enumerate([(9, "T", "COMMITTED", day), (10, "U", "RESERVED", day + timedelta(days=9)), (11, "U", "COMMITTED", day + timedelta(days=18)), (1, "T", "RESERVED", day + timedelta(days=19))]):
+        spark.createDataFrame([row], columns).coalesce(1).write.mode("append").parquet(str(tmp_path / "changes"))
+        newest = max((tmp_path / "changes").glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+        os.utime(newest, (1_600_000_000 + n * 60,) * 2)
+    changes = streams.parquet_stream(spark, str(tmp_path / "changes"), columns, files_per_batch=1)
+    latest = streams.latest_state_stream(
+        changes, "transferId", "transferStateChangeId", ["transferStateId"], "createdDate", timedelta(days=2)
+    )
+    rows = runs.run_updating(latest, "test-expired", "transferId").collect()
+    assert {tuple(r) for r in rows} == {("T", "RESERVED"), ("U", "COMMITTED")}
