@@ -50,8 +50,9 @@ def run_appending(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/output")
 
 
-def run_updating(stream: DataFrame, name: str, key: str) -> DataFrame:
-    """Run an update-mode stream and read the last version of each key.
+def run_updating(stream: DataFrame, name: str, key: str, newest_by: str | None = None) -> DataFrame:
+    """Run an update-mode stream and read the last version of each key: that of the last batch,
+    or that with the highest ``newest_by``, which is then left out of the result.
 
     Every batch overwrites its own folder, so a repeated batch changes nothing.
     """
@@ -71,6 +72,6 @@ def run_updating(stream: DataFrame, name: str, key: str) -> DataFrame:
         )
     query.awaitTermination()
     versions = spark.read.option("basePath", f"{folder}/output").parquet(f"{folder}/output")
-    values = [c for c in stream.columns if c != key]
-    newest = F.max_by(F.struct(*values), "batch").alias("newest")
+    values = [c for c in stream.columns if c not in (key, newest_by)]
+    newest = F.max_by(F.struct(*values), newest_by or "batch").alias("newest")
     return versions.groupBy(key).agg(newest).select(key, "newest.*")

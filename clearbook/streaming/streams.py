@@ -6,14 +6,10 @@ aggregating ones are the batch operators themselves.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import timedelta
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import LongType, StructField, StructType
 
 from clearbook.operators.rules import event_rows, quote_events
 from clearbook.operators.settlement import settlement_day_totals
@@ -79,35 +75,21 @@ def latest_state_stream(
 ) -> DataFrame:
     """Latest state change per entity, for update mode.
 
-    Without ``expiry`` the state is one row per entity, for good. With it, an entity
-    is forgotten once the watermark (the newest ``ts`` seen, less ``lateness``) is more
-    than ``expiry`` past its last change: nothing is given out then, and a
-    later change of it, whatever its order, counts as its first. So ``expiry`` is
-    to be longer than an entity lives.
+    Without ``expiry`` the state is one row per entity, for good. With it, time is
+    cut into stretches of that length: an entity's state is one row in each stretch
+    in which it changes, and goes once the watermark (the newest ``ts`` seen, less
+    ``lateness``) is past the stretch. Rows then also carry ``order``, by which a
+    reader takes the latest of an entity's rows, those of forgotten stretches among
+    them (``runs.run_updating`` with ``newest_by``). Changes later than the watermark of their
+    stretch are dropped.
     """
     if expiry is None:
         return latest_by(changes, entity, order, values)
-    moment, keep_ms = "_moment", int(expiry.total_seconds() * 1000)
+    moment, stretch = "_moment", "_stretch"
     timed = changes.select(entity, order, *values, as_instant(F.col(ts)).alias(moment)).withWatermark(moment, lateness)
-    result = changes.select(entity, *values).schema
-    kept = StructType([changes.schema[order], *result.fields[1:], StructField("last_ms", LongType())])
-
-    def newest(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        best = state.get if state.exists else None
-        for part in parts:
-            row = part.loc[part[order].idxmax()]
-            last = max(int(part[moment].max().value // 1_000_000), best[-1] if best else 0)
-            found = (row[order].item(), *(row[c].to_pydatetime() if hasattr(row[c], "to_pydatetime") else row[c] for c in values))
-            best = (*(found if best is None or found[0] > best[0] else best[:-1]), last)
-        state.update(best)
-        state.setTimeoutTimestamp(max(best[-1] + keep_ms, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame([[key[0], *best[1:-1]]], columns=[entity, *values])
-
-    grouped = timed.groupBy(entity)
-    return grouped.applyInPandasWithState(newest, result, kept, "update", GroupStateTimeout.EventTimeTimeout)
+    latest = F.max_by(F.struct(order, *values), order).alias("latest")
+    grouped = timed.groupBy(F.window(moment, f"{int(expiry.total_seconds())} seconds").alias(stretch), entity)
+    return grouped.agg(latest).select(entity, "latest.*")
 
 
 def settlement_day_stream(transfers: DataFrame, by: list[str], ts: str, lateness: str) -> DataFrame:
