@@ -17,8 +17,9 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from clearbook.llm.tables import DOC_ID, TEXT, id_and_text, once_per_worker
+from clearbook.llm.tables import DOC_ID, TEXT, free_names, id_and_text, once_per_worker, with_row_keys, without_rows
 from clearbook.sources.sinks import staged
 
 Item = tuple[int | None, str]
@@ -145,8 +146,23 @@ def find_items(
     each, repeated items once for each id. The benchmark is sent in blocks of
     ``block_chars``, each with one pass over the documents; there is no shuffle.
     """
-    spark, texts = docs.sparkSession, id_and_text(docs, id_col, text_col)
-    found = []
+    texts = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col(DOC_ID))
+    return _found(texts, ["doc_id"], items, rate, least_chars, block_chars, item_id_col, item_text_col)
+
+
+def _found(
+    texts: DataFrame,
+    carried: list[str],
+    items: DataFrame,
+    rate: float = 0.05,
+    least_chars: int = 40,
+    block_chars: int = 1 << 20,
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The columns ``carried`` of each text and what it holds of the items."""
+    spark, found = texts.sparkSession, []
+    schema = StructType([*texts.select(*carried).schema.fields, *StructType.fromDDL(FOUND).fields[1:]])
     for block in item_blocks(items, item_id_col, item_text_col, block_chars):
         sent = spark.sparkContext.broadcast((block, rate, least_chars))
 
@@ -154,20 +170,26 @@ def find_items(
             index = once_per_worker(("items", key), lambda: ItemIndex(*sent.value))
             for batch in batches:
                 rows = [
-                    (doc_id, *hit)
-                    for doc_id, text in zip(batch[DOC_ID].to_pylist(), batch[TEXT], strict=True)
+                    (k, *hit)
+                    for k, text in enumerate(batch[TEXT])
                     if text.is_valid
                     for hit in index.find(plain(text.as_py()))
                 ]
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-                columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)]
-                yield pa.record_batch(columns, ["doc_id", "item_id", "distance", "start", "stop"])
+                at = pa.array([row[0] for row in rows], pa.int64())
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+                columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds, 1)]
+                names = [*carried, "item_id", "distance", "start", "stop"]
+                yield pa.record_batch([*(batch[name].take(at) for name in carried), *columns], names)
 
-        found.append(texts.mapInArrow(search, FOUND))
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], FOUND)
+        found.append(texts.mapInArrow(search, schema))
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
 
 
-def without_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that hold no item, with all their columns; null ids stay if their row holds none."""
-    hit = staged(find_items(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("_hit")).distinct(), "hits")
-    return docs.join(hit, F.col(id_col).eqNullSafe(F.col("_hit")), "left_anti")
+def without_items(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """The documents that hold no item, with all their columns. Each row is judged by its own text, whatever its id."""
+    names = free_names(docs, "_hit_id", "_hit_hash", "_hit_hash2")
+    rows = with_row_keys(docs, id_col, text_col, names)
+    hit = staged(_found(rows, names, items, **options).select(*names), "hits")
+    return without_rows(docs, hit, id_col, text_col, names)

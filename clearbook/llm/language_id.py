@@ -20,8 +20,9 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from clearbook.llm.tables import DOC_ID, TEXT, id_and_text, once_per_worker, ship_package
+from clearbook.llm.tables import DOC_ID, TEXT, free_names, id_and_text, once_per_worker, ship_package, with_row_keys, without_rows
 from clearbook.sources.sinks import staged
 
 UNDETERMINED = "und"
@@ -273,7 +274,14 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     any text if no language was learned, is ``und`` with score 0; ties go to the
     first language in alphabetical order. A row in, a row out; no shuffle.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model.logs)
+    texts = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col(DOC_ID))
+    return _told(texts, ["doc_id"], model)
+
+
+def _told(texts: DataFrame, carried: list[str], model: LanguageModel) -> DataFrame:
+    """The columns ``carried`` of each text, its language and the score."""
+    sent = texts.sparkSession.sparkContext.broadcast(model.logs)
+    schema = StructType([*texts.select(*carried).schema.fields, *StructType.fromDDL("lang_pred string, score double").fields])
     languages, path, key = model.languages, model.vocabulary_path, uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,9 +296,10 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
                 logs = found[:-1]
                 best = int(logs.argmax())
                 names.append(languages[best]), scores.append(float(1.0 / np.exp(logs - logs[best]).sum()))
-            yield pa.record_batch([batch[DOC_ID], pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+            told = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.record_batch([*(batch[name] for name in carried), *told], [*carried, "lang_pred", "score"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return texts.mapInArrow(run, schema)
 
 
 def without_rejected(
@@ -298,10 +307,9 @@ def without_rejected(
 ) -> DataFrame:
     """The rows, with all columns, of a language told with at least ``least_score``.
 
-    Null and empty texts, and those without letters, go; where rows share an id,
-    one that is rejected takes the others with it.
+    Null and empty texts, and those without letters, go. Each row is judged by its own text, whatever its id.
     """
-    told = predict(docs, model, id_col, text_col)
+    names = free_names(docs, "_bad_id", "_bad_hash", "_bad_hash2")
+    told = _told(with_row_keys(docs, id_col, text_col, names), names, model)
     bad = told.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < least_score))
-    bad = staged(bad.select(F.col("doc_id").alias("_bad")).distinct(), "rejected")
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    return without_rows(docs, staged(bad.select(*names), "rejected"), id_col, text_col, names)

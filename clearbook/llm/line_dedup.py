@@ -64,8 +64,8 @@ def without_repeated_runs(
     judged on the input, not on what is left, and don't cross documents. Lines end
     with a line feed. A null text stays null and has no lines; an empty one is one
     empty line. Null ids come before all others; rows that share id and text
-    are treated alike, rows that share the id alone are not earlier than each other. Columns named in
-    ``keep`` are passed on.
+    are treated alike; of rows that share the id alone, as if they were one document, that is
+    earlier which stands at a smaller line. Columns named in ``keep`` are passed on.
     """
     rest = F.struct(F.lit(0).alias("_none"), *(F.col(name) for name in keep)).alias("_rest")
     table = docs.select(F.col(id_col).cast("long").alias(DOC_ID), F.col(text_col).cast("string").alias(TEXT), rest).select(

@@ -153,14 +153,19 @@ class _Buffer:
         columns, bucket = [column[order] for column in columns], bucket[order]
         numbers, starts = np.unique(bucket, return_index=True)
         rows = [(int(b), BLOCK, _packed([c[x:y] for c in columns])) for b, x, y in zip(numbers, starts, np.append(starts[1:], len(bucket)), strict=True)]
-        if len(marks[0]):
-            rows.append((int(numbers[0]), MARK, _packed(marks)))
+        # Marks need no further work: any bucket will do, so they are spread by a hash of their document.
+        for low in range(0, len(marks[0]), MARKS_TOGETHER):
+            part = [column[low : low + MARKS_TOGETHER] for column in marks]
+            place = _mixed(part[2][:1].astype(np.int64).view(U8) + U8(low))[0] % U8(self._buckets)
+            rows.append((int(place), MARK, _packed(part)))
         yield pa.record_batch(
             [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
             ["_bucket", "_kind", "_packed"],
         )
 
 
+# Marks that go to one bucket together.
+MARKS_TOGETHER = 1 << 12
 KINDS = ("<u8", "<u8", "<i8", "<i8", "<i4", "<i4")
 
 

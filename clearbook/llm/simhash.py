@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearbook.llm.components import connected
-from clearbook.llm.tables import DOC_ID, TEXT, id_and_text
+from clearbook.llm.tables import DOC_ID, TEXT, free_names, id_and_text
 from clearbook.sources.sinks import staged
 
 SEED = 42
@@ -140,11 +140,12 @@ def one_of_each(
     first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id").alias("_first"), F.col("same").alias("_first_same")))
     firsts = rows.groupBy("root").agg(first.alias("_f")).select("root", "_f._first", "_f._first_same")
     is_first = F.col("doc_id").eqNullSafe(F.col("_first")) & (F.col("same") == F.col("_first_same"))
-    told = rows.join(firsts, "root").select(F.col("doc_id").alias("_id"), F.col("same").alias("_text_hash"), is_first.alias("_is_first"), "_n")
+    named_id, named_hash, key_id, key_same = free_names(docs, "_id", "_text_hash", "_key_id", "_key_same")
+    told = rows.join(firsts, "root").select(F.col("doc_id").alias(named_id), F.col("same").alias(named_hash), is_first.alias("_is_first"), "_n")
     # Few rows are of a kind to be dropped or thinned out, so these are what is looked up.
     told = staged(told.where(~F.col("_is_first") | (F.col("_n") > 1)), "later")
-    here = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (_same(text_col) == F.col("_text_hash"))
-    alone = docs.join(told, here, "left_anti")
-    repeated = docs.join(told.where("_is_first"), here, "left_semi")
-    one = repeated.withColumns({"_key_id": F.col(id_col).cast("long"), "_key_same": _same(text_col)}).dropDuplicates(["_key_id", "_key_same"])
-    return alone.unionByName(one.drop("_key_id", "_key_same"))
+    here = F.col(id_col).cast("long").eqNullSafe(F.col(named_id)) & (_same(text_col) == F.col(named_hash))
+    alone = docs.join(told.select(named_id, named_hash), here, "left_anti")
+    repeated = docs.join(told.where("_is_first").select(named_id, named_hash), here, "left_semi")
+    one = repeated.withColumns({key_id: F.col(id_col).cast("long"), key_same: _same(text_col)}).dropDuplicates([key_id, key_same])
+    return alone.unionByName(one.drop(key_id, key_same))

@@ -9,7 +9,7 @@ from collections.abc import Callable, Hashable
 from pathlib import Path
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Made = TypeVar("Made")
@@ -48,6 +48,39 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias(DOC_ID), F.col(text_col).cast("string").alias(TEXT))
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like the wanted ones that no column of ``df`` has."""
+    taken, found = {name.lower() for name in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
+def _keys(id_col: str, text_col: str) -> list[Column]:
+    text = F.col(text_col).cast("string")
+    return [F.col(id_col).cast("long"), F.coalesce(F.xxhash64(text), F.lit(0)), F.coalesce(F.xxhash64(F.lit(7), text), F.lit(0))]
+
+
+def with_row_keys(df: DataFrame, id_col: str, text_col: str, names: list[str]) -> DataFrame:
+    """Id and text, and what tells a row apart as three columns: its id and two hashes of its text.
+
+    Rows that share all three are one for whoever decides by the text.
+    """
+    ship_package(df.sparkSession)
+    keys = [key.alias(name) for key, name in zip(_keys(id_col, text_col), names, strict=True)]
+    return df.select(F.col(id_col).cast("long").alias(DOC_ID), F.col(text_col).cast("string").alias(TEXT), *keys)
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, names: list[str]) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose keys are not among ``names`` of ``gone``."""
+    same = F.lit(True)
+    for key, name in zip(_keys(id_col, text_col), names, strict=True):
+        same &= key.eqNullSafe(F.col(name))
+    return docs.join(gone.select(*names).distinct(), same, "left_anti")
+
+
 def once_per_worker(key: Hashable, make: Callable[[], Made], keep: int = 1) -> Made:
     """A costly object (a vocabulary, an automaton) made once in a Python worker and reused by its tasks.
 
