@@ -17,13 +17,13 @@ from __future__ import annotations
 
 import base64
 import codecs
+import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from clearbook.llm.tables import DOC_ID, TEXT, id_and_text, once_per_worker
 
@@ -348,12 +348,32 @@ def round_trip(
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids binary, n_tokens long, text string")
 
 
-def round_trip_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Per document the number of ids and digests of the ids and of the text decoded from them."""
-    decoded = round_trip(docs, ranks_path, pattern)
-    return decoded.select(
-        "doc_id",
-        "n_tokens",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
-    )
+def round_trip_digests(
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per document the number of ids and digests of the ids and of the bytes decoded from them.
+
+    As ``round_trip``, but the ids and texts stay in the task, one document at a time.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def make() -> tuple[TextEncoder, list[bytes]]:
+            ranks = read_ranks(ranks_path)
+            return TextEncoder(ranks, pattern), _by_rank(ranks)
+
+        encoder, tokens = once_per_worker(("bpe round trip", ranks_path, pattern), make)
+        for batch in batches:
+            counts, of_ids, of_text = [], [], []
+            for text in batch[TEXT]:
+                ids = encoder.encode(text.as_py() or "")
+                decoded = hashlib.sha256()
+                for part in decode_ids(ids, tokens):
+                    decoded.update(part.encode("utf-8"))
+                counts.append(len(ids) // 4)
+                of_ids.append(hashlib.sha256(ids).hexdigest())
+                of_text.append(decoded.hexdigest())
+            columns = [batch[DOC_ID], pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
+            yield pa.record_batch(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, schema)
