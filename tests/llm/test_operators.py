@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -419,6 +420,28 @@ def test_descent_goes_on_to_convergence(spark):
     assert len(found) == 1000 and hits >= 970
 
 
+def test_blocks_are_the_same_for_any_partitions(spark):
+    rows = np.random.default_rng(14).normal(size=(1000, 6)).round(1)
+    table = spark.createDataFrame(list(enumerate(rows.tolist())), "node long, vector array<double>").selectExpr("node", "cast(vector as array<float>) vector")
+    planes = np.random.default_rng(1).normal(size=(3, 6, 3))
+    dealt = []
+    for parts in (1, 13):
+        blocks = nn_descent._blocks(table.repartition(parts), planes, 128).collect()
+        dealt.append({(r.order, r.block, r.node) for r in blocks})
+        sizes = Counter((r.order, r.block) for r in blocks)
+        assert len(blocks) == 3000 and len(sizes) == 24 and set(sizes.values()) == {125}
+    assert dealt[0] == dealt[1]
+
+
+def test_components_beyond_single_precision(spark):
+    rng = np.random.default_rng(15)
+    vectors = {k: (rng.normal(size=6) * 1e60).tolist() for k in range(400)}
+    table = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    found = nn_descent.nearest_neighbours(table, block=64, cell_bits=2).collect()
+    hits = sum(r.vec_id in {i for _, i in brute.nearest(vectors, r.query_id, 10)} for r in found)
+    assert len(found) == 40 and hits >= 36
+
+
 def test_query_digests(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     library = Tokenizer.from_file(WORD_TOKENIZER)
