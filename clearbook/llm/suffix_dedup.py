@@ -23,6 +23,7 @@ from clearbook.llm.tables import DOC_ID, TEXT
 
 LETTERS = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 END = 0  # stands after each block; letters are bytes plus one
+STRIPPED = 256  # documents handed back together
 
 
 class LetterQueues:
@@ -68,10 +69,11 @@ class LetterQueues:
 
 def packed_words(letters: np.ndarray, depth: int) -> np.ndarray:
     """At each place the next seven letters as one number that sorts like them, zeros after the end."""
-    padded = np.concatenate([letters, np.zeros(depth + 8, dtype=letters.dtype)]).astype(np.uint64)
+    padded = np.concatenate([letters, np.zeros(depth + 8, dtype=letters.dtype)]).astype(np.uint16)
     words = np.zeros(len(letters) + depth + 1, dtype=np.uint64)
     for k in range(7):
-        words = words << np.uint64(9) | padded[k : k + len(words)]
+        words <<= np.uint64(9)
+        words |= padded[k : k + len(words)]
     return words
 
 
@@ -102,10 +104,12 @@ def _sorted_to_depth(places: np.ndarray, words: np.ndarray, depth: int) -> np.nd
 def induced_order(letters: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
     """All suffixes in order of their next ``depth`` letters at least. The last letter must be ``END``."""
     size, most = len(letters), int(letters.max()) + 1
-    step = np.sign(np.diff(letters.astype(np.int64)))
-    changes = np.where(step != 0, np.arange(size - 1), size - 1)
+    step = (letters[1:] > letters[:-1]).astype(np.int8) - (letters[1:] < letters[:-1])
+    changes = np.arange(size - 1, dtype=np.int32 if size < 1 << 31 else np.int64)
+    changes[step == 0] = size - 1
     following = np.minimum.accumulate(changes[::-1])[::-1]
-    rises = np.append(np.append(step, 1)[following] > 0, True)  # S suffixes; the others are L
+    rises = np.append(np.append(step, np.int8(1))[following] > 0, True)  # S suffixes; the others are L
+    del step, changes, following
     minima = np.flatnonzero(rises[1:] & ~rises[:-1]) + 1
     minima = _sorted_to_depth(minima, words, depth)
     first = np.searchsorted(letters[minima], np.arange(most + 1))
@@ -157,7 +161,7 @@ def matcher(length: int):
 
     def match(docs: np.ndarray, starts: np.ndarray, contents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(content) for content in contents])
-        letters = np.frombuffer(b"".join(content + b"\0" for content in contents), dtype=np.uint8).astype(np.int64) + 1
+        letters = np.frombuffer(b"".join(content + b"\0" for content in contents), dtype=np.uint8).astype(np.int16) + np.int16(1)
         ends = np.cumsum(sizes + 1) - 1
         letters[ends] = END
         words = packed_words(letters, length)
@@ -168,10 +172,11 @@ def matcher(length: int):
         alike = share_prefix(order[:-1], order[1:], words, length)
         begins = np.flatnonzero(np.concatenate(([True], ~alike)))
         first = np.repeat(np.minimum.reduceat(order, begins), np.diff(np.append(begins, len(order))))
-        at = starts[block] + np.arange(len(letters)) - (ends - sizes)[block]
-        later = (docs[block[order]] > docs[block[first]]) | (at[order] > at[first])
+        moved = starts - (ends - sizes)
+        later = docs[block[order]] > docs[block[first]]
+        later |= order + moved[block[order]] > first + moved[block[first]]
         found = order[(order != first) & later]
-        return block[found], at[found]
+        return block[found], found + moved[block[found]]
 
     return match
 
@@ -195,7 +200,8 @@ def without_repeated_bytes(docs: DataFrame, length: int = 100, id_col: str = "do
         return [content[a : b + length] for a, b in zip(starts, stops, strict=True)]
 
     def strip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        pieces = (batch.slice(low, STRIPPED) for batch in batches for low in range(0, batch.num_rows, STRIPPED))
+        for batch in pieces:
             kept, totals, spans = [], [], []
             for text, gone in zip(batch[TEXT], batch["_gone"], strict=True):
                 content = np.frombuffer(text.as_py().encode("utf-8"), dtype=np.uint8)
