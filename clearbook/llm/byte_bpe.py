@@ -43,7 +43,8 @@ class MergeTransducer:
     """Encodes one piece of text (a match of the splitting pattern) as little-endian ids of four bytes.
 
     ``most_steps`` bounds the memory of the lazily made transitions; a piece that
-    needs one beyond it is followed through the same ways without storing them.
+    needs one beyond it goes on through the same ways by the trie's suffix links,
+    of which there is one for each node.
     """
 
     def __init__(self, ranks: dict[bytes, int], most_steps: int = 100_000) -> None:
@@ -53,15 +54,17 @@ class MergeTransducer:
         self._next: dict[int, int] = {}  # trie: node << 8 | byte -> node
         self._token = [-1]
         self._leaf = [True]
+        self._depth = [0]
         for token, rank in ranks.items():
             node = 0
-            for byte in token:
+            for depth, byte in enumerate(token, 1):
                 key = node << 8 | byte
                 child = self._next.get(key)
                 if child is None:
                     child = self._next[key] = len(self._token)
                     self._token.append(-1)
                     self._leaf.append(True)
+                    self._depth.append(depth)
                     self._leaf[node] = False
                 node = child
             self._token[node] = rank
@@ -69,11 +72,30 @@ class MergeTransducer:
         self._spines: tuple[dict[int, list[tuple[int, int]]], ...] = ({}, {})
         self._pairs: dict[int, bool] = {}
         self._token = [rank if rank >= 0 and self._reachable(rank) else -1 for rank in self._token]
+        self._link_suffixes()
         self._threads = [((0, (-1,)),)]
         self._state_of = {self._threads[0]: 0}
         self._last = [b""]
         self._step: dict[int, tuple[int, bytes]] = {}
 
+    def _link_suffixes(self) -> None:
+        """For each node that of its longest proper suffix, and the longest token that ends there."""
+        size = len(self._token)
+        self._fallback = [0] * size
+        self._ending = [(-1, 0)] * size  # token and its number of bytes
+        self._shorter: dict[int, tuple[int, int]] = {}  # the next token that ends where this one does
+        for key, child in sorted(self._next.items(), key=lambda edge: self._depth[edge[1]]):
+            node, byte = key >> 8, key & 255
+            if node:
+                node = self._fallback[node]
+                while node and node << 8 | byte not in self._next:
+                    node = self._fallback[node]
+                self._fallback[child] = self._next.get(node << 8 | byte, 0)
+            token, shorter = self._token[child], self._ending[self._fallback[child]]
+            if token >= 0:
+                self._shorter[token] = shorter
+            self._ending[child] = shorter if token < 0 else (token, self._depth[child])
+
     def _last_merge(self, rank: int) -> tuple[int, int] | None:
         """The two tokens that the last merge of a token joins; none for a byte or a token that merges never reach."""
         if rank not in self._parts:
@@ -158,33 +180,38 @@ class MergeTransducer:
         return known
 
     def _follow(self, state: int, rest: bytes) -> bytes:
-        """The tokens of the rest of a piece, followed without making states."""
-        following, tokens, leaf, pairs = self._next.get, self._token, self._leaf, self._pairs.get
-        ways: list[tuple[int, tuple]] = []
+        """The tokens of the rest of a piece, without further states: one walk over the nodes of the trie.
+
+        The starts that are open after some bytes are the suffixes of them that lie in the trie. So the
+        node of the longest, with the links to shorter ones, stands for all of them.
+        """
+        following, fallback, ending, pairs = self._next.get, self._fallback, self._ending, self._pairs.get
+        deepest = self._threads[state][0][0]
+        before = self._depth[deepest]
+        chains: list[tuple | None] = [None] * (before + 1)  # by position: the tokens up to it, last one first
         for node, path in self._threads[state]:
             chain: tuple = ()
             for token in path:
                 chain = (token, chain)
-            ways.append((node, chain))
-        for byte in rest:
-            longer, ended = [], None
-            for node, chain in ways:
+            chains[before - self._depth[node]] = chain
+        node = deepest
+        for at, byte in enumerate(rest, before + 1):
+            child = following(node << 8 | byte)
+            while child is None and node:
+                node = fallback[node]
                 child = following(node << 8 | byte)
-                if child is None:
-                    continue
-                if not leaf[child]:
-                    longer.append((child, chain))
-                if ended is None:
-                    token = tokens[child]
-                    if token >= 0:
-                        fits = pairs(chain[0] << 32 | token)
-                        if self._compatible(chain[0], token) if fits is None else fits:
-                            ended = (token, chain)
-            if ended is None:
-                raise ValueError(f"byte {byte} is no token of the vocabulary")
-            longer.append((0, ended))
-            ways = longer
-        found, chain = [], ways[-1][1]
+            node = child or 0
+            token, length = ending[node]
+            while True:
+                if token < 0:
+                    raise ValueError(f"byte {byte} is no token of the vocabulary")
+                chain = chains[at - length]
+                fits = pairs(chain[0] << 32 | token)
+                if self._compatible(chain[0], token) if fits is None else fits:
+                    break
+                token, length = self._shorter[token]
+            chains.append((token, chain))
+        found, chain = [], chains[-1]
         while chain[1]:  # the last in the chain is the token that was emitted before
             found.append(chain[0])
             chain = chain[1]
@@ -248,7 +275,11 @@ class TextEncoder:
         self._split = regex.compile(pattern)
         self._space = re.compile(r" (?=\s|\Z)")
         self._pieces = Recent(lambda piece: self.transducer.encode(piece.encode("utf-8")), most_kept)
-        self._cuts = Recent(lambda cut: self._matches(f" {cut}"), most_kept)
+        self._cuts = Recent(self._cut_ids, most_kept)
+
+    def _cut_ids(self, cut: str) -> bytes:
+        # A space and letters are one match of this pattern.
+        return self._pieces[f" {cut}"] if cut.isascii() and cut.isalpha() else self._matches(f" {cut}")
 
     def _matches(self, text: str) -> bytes:
         if len(text) > LONG_TEXT:
