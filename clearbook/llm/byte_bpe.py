@@ -246,10 +246,10 @@ class Recent(dict):
     So memory stays bounded and frequent keys stay known.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], most: int) -> None:
+    def __init__(self, encode: Callable[[str | bytes], bytes], most: int) -> None:
         self.encode, self.most, self.last = encode, most, {}
 
-    def __missing__(self, key: str) -> bytes:
+    def __missing__(self, key: str | bytes) -> bytes:
         ids = self.last.get(key)
         if ids is None:
             ids = self.encode(key)

@@ -15,6 +15,7 @@ rows of Parquet files, so that Spark commits them and any store can hold them.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -27,59 +28,79 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from clearbook.llm.byte_bpe import Recent
 from clearbook.llm.tables import DOC_ID, TEXT, id_and_text, once_per_worker
 
 MAGIC = b"IDRP"
 HEADER = struct.Struct("<4sIIIII")
 END_ID = 1
+END = END_ID.to_bytes(4, "little")
+# Signs that a tokenizer with WORD_PIECES takes together behind a word: all ASCII ones but the apostrophe.
+SIGNS = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+# How the published tokenizer of words changes and cuts a text.
+WORD_STEPS = [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)]
+LATIN_END = "\u0250"  # below it letters are one character each, in composed form
+WORD_PIECES = [
+    ("Split", {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, True, None),
+    ("ByteLevel", None, None, False),
+]
 BLOCK_SCHEMA = "part int, block long, part_start long, n_docs long, n_ids long, payload binary"
 
 
+def _shown_bytes() -> dict[int, str]:
+    """The published way to write bytes as characters: those with a sign of their own as it, the others from U+0100 on."""
+    signs = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [byte for byte in range(256) if byte not in signs]
+    return {byte: chr(256 + k) for k, byte in enumerate(others)}
+
+
+SHOWN = _shown_bytes()
+
+
+def _takes_words_alone(spec: dict) -> bool:
+    """Whether a tokenizer changes case alone in Latin words and sees them and the signs after them as two pieces."""
+    normalizer, splitter = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    steps = [(x["type"], x.get("pattern"), x.get("content")) for x in normalizer.get("normalizers", [])]
+    pieces = [(x["type"], x.get("pattern"), x.get("invert"), x.get("add_prefix_space")) for x in splitter.get("pretokenizers", [])]
+    return steps == WORD_STEPS and pieces == WORD_PIECES and spec["model"]["type"] == "BPE" and not spec["model"]["dropout"]
+
+
 class ChunkEncoder:
     """Ids of texts by a tokenizer that drops white space, so that what stands between is encoded alone.
 
-    Chunks met of late are looked up in two generations of bounded size; the rest
-    of a batch goes through the tokenizer in one call and is cut apart by offsets.
+    Chunks met of late are looked up in two generations of bounded size. Where the tokenizer's
+    file allows it, words of Latin letters go straight to its model, and what is known of a word is used for
+    the same word in (ASCII) capitals or before signs; all other chunks go through the whole tokenizer.
     """
 
     def __init__(self, path: str, most_kept: int = 400_000) -> None:
         self._tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self._tokenizer.get_vocab_size(with_added_tokens=True)
-        self._most, self._now, self._last = most_kept, {}, {}
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        missing = []
-        if len(self._now) >= self._most:
-            self._last, self._now = self._now, {}
-        for chunk in chunks:
-            known = self._last.get(chunk)
-            if known is None:
-                missing.append(chunk)
-            else:
-                self._now[chunk] = known
-        words = [chunk.decode("utf-8", "replace") for chunk in missing]
-        for at in range(0, len(words), 1000):
-            some = words[at : at + 1000]
-            starts = np.cumsum([0] + [len(word) + 1 for word in some])
-            found = self._tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4")
-            owner = np.searchsorted(starts, np.array([a for a, _ in found.offsets], dtype=np.int64), "right") - 1
-            bounds = np.searchsorted(owner, np.arange(len(some) + 1))
-            for k, chunk in enumerate(missing[at : at + 1000]):
-                self._now[chunk] = ids[bounds[k] : bounds[k + 1]].tobytes()
-
-    def encode(self, texts: list[bytes], group: int = 256) -> Iterator[np.ndarray]:
-        """The ids of each text, without special tokens and with the end id."""
-        end = END_ID.to_bytes(4, "little")
-        for at in range(0, len(texts), group):
-            cut = [text.split() for text in texts[at : at + group]]
-            unknown = {chunk for chunks in cut for chunk in chunks if chunk not in self._now}
-            if unknown:
-                if len(self._now) >= self._most:
-                    unknown = {chunk for chunks in cut for chunk in chunks}
-                self._learn(unknown)
-            for chunks in cut:
-                yield np.frombuffer(b"".join(map(self._now.__getitem__, chunks)) + end, dtype="<u4")
+        with open(path, encoding="utf-8") as file:
+            self._model = self._tokenizer.model if _takes_words_alone(json.load(file)) else None
+        self._chunks = Recent(self._learn, most_kept)
+
+    def _learn(self, chunk: bytes) -> bytes:
+        word = chunk.rstrip(SIGNS) if self._model is not None else b""
+        if word.isalpha():
+            name = word.decode("ascii")
+        else:
+            name = word.decode("utf-8", "replace")
+            if not name.isalpha() or max(name) >= LATIN_END or name != name.lower():
+                return _packed(self._tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids)
+        if len(word) < len(chunk):
+            return self._chunks[word] + self._chunks[chunk[len(word) :]]
+        if not name.islower():
+            return self._chunks[word.lower()]
+        return _packed([token.id for token in self._model.tokenize(word.decode("latin-1").translate(SHOWN))])
+
+    def encode(self, text: bytes) -> np.ndarray:
+        """The ids of a text, without special tokens and with the end id."""
+        return np.frombuffer(b"".join(map(self._chunks.__getitem__, text.split())) + END, dtype="<u4")
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def repair(ids: np.ndarray, base: int, least: int, per_round: int = 2048) -> tuple[np.ndarray, np.ndarray]:
@@ -239,8 +260,8 @@ def write_store(
 
         filled = 0
         for batch in batches:
-            texts = [(text.as_py() or "").encode("utf-8") for text in batch[TEXT]]
-            for doc_id, found in zip(batch[DOC_ID].to_pylist(), encoder.encode(texts), strict=True):
+            for doc_id, text in zip(batch[DOC_ID].to_pylist(), batch[TEXT].cast(pa.binary()), strict=True):
+                found = encoder.encode(text.as_py() or b"")
                 names.append(doc_id)
                 ids.append(found)
                 filled += len(found)

@@ -239,6 +239,17 @@ def test_transducer_without_stored_steps():
         assert stored.encode(word.encode()) == free.encode(word.encode())
 
 
+@pytest.mark.parametrize("most_steps", [0, 3, 40, 400])
+def test_transducer_goes_on_after_any_step(most_steps):
+    ranks = byte_bpe.read_ranks(BYTE_RANKS)
+    library = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    transducer, rng = byte_bpe.MergeTransducer(ranks, most_steps=most_steps), random.Random(3)
+    parts = [" the", "ing", "er", "tion", "aaaa", "zq", "ó", "ß", "日本", "xx", "th"]
+    for _ in range(400):
+        word = "".join(rng.choice(parts) for _ in range(rng.randint(1, 12)))
+        assert np.frombuffer(transducer.encode(word.encode()), "<u4").tolist() == library.encode_ordinary(word), word
+
+
 def test_utf8_stream_cut_anywhere():
     data = "aé日😀".encode() + b"\xff\xe6"
     for cut in range(len(data)):
@@ -265,6 +276,18 @@ def test_token_store(spark):
     assert token_store.read_store(spark, path + "-none").count() == 0
 
 
+@pytest.mark.parametrize("most_kept", [2, 400_000])
+def test_chunks_equal_the_library(most_kept):
+    library, rng = Tokenizer.from_file(WORD_TOKENIZER), random.Random(5)
+    encoder = token_store.ChunkEncoder(WORD_TOKENIZER, most_kept)
+    odd = ["DOGS', x", "a's b'S cat'd. '", "ABC<|endoftext|> <|endoftext|>!!", "endoftext|> x--y--", "ﬁ İI ıi Ǆ ǅ ǆ ŉ ª º ĸ", "\x00a a\x1fb"]
+    odd += ["e\u0301a éa, éa\u0301 É", "a\u00a0b \u2028 c\u00ad", "¼a a² ½", "über### ÜBER### straße% ẞ", "", "  ", "a" * 3000 + "!"]
+    letters = "aAbéÉßñİı'.,!#-1²日\u0301 \n"
+    for text in odd + ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(2000)]:
+        ids = [*library.encode(text, add_special_tokens=False).ids, token_store.END_ID]
+        assert encoder.encode(text.encode()).tolist() == ids, text
+
+
 def test_grammar_round_trip_and_random_access():
     rng = np.random.default_rng(2)
     ids = rng.choice([5, 6, 7, 300, token_store.END_ID], 6000, p=[0.4, 0.3, 0.1, 0.1, 0.1]).astype("<u4")
