@@ -363,14 +363,16 @@ def intercepts_by_account(facts: DataFrame) -> DataFrame:
     )
 
     def only(currencies: Column) -> Column:
-        return F.when(F.size(currencies) == 1, F.get(currencies, F.lit(0)))
+        # As a filter over the one list, so that the list is read once.
+        return F.get(F.flatten(F.filter(F.array(currencies), lambda c: F.size(c) == 1)), F.lit(0))
 
-    quotes = facts.select(
-        "quoteId",
+    read = F.struct(
         F.try_variant_get(F.try_parse_json("headers"), _variant_path(SOURCE[1]), "string").alias("source"),
         only(listed_strings(F.try_parse_json("payer"), POSITION_CURRENCIES)).alias("sourceCurrency"),
         only(listed_strings(F.try_parse_json("payee"), POSITION_CURRENCIES)).alias("rerouteToFspCurrency"),
     )
+    # Exploded in place: the join's tests for NULL would else read the documents a second time.
+    quotes = facts.select("quoteId", F.inline(F.array(read)))
     allowed = ~_never_null(F.array_contains(F.split("barred", "[|]"), F.col("source")))
     return (
         quotes.join(routes, ["sourceCurrency", "rerouteToFspCurrency"])

@@ -124,6 +124,22 @@ def test_reroute_tables_agree_with_the_rules(spark, ledger):
     assert by_rules.count() > 0
 
 
+def test_reroute_table_reads_each_account_list_once(spark, ledger):
+    plan = rules.intercepts_by_account(ledger["quoteFacts"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count('["accounts"]') == 2
+
+
+def test_reroute_table_with_odd_account_lists(spark):
+    def side(*currencies):
+        accounts = [{"ledgerAccountType": "POSITION", "isActive": 1, "currency": c} for c in currencies]
+        return json.dumps({"accounts": accounts})
+
+    headers, mad, eur = json.dumps({"fspiop-source": "bank"}), side("MAD"), side("EUR")
+    sides = [(mad, eur), (side("MAD", "XOF"), eur), (side(), eur), (side(None), eur), (None, eur), ("{}", eur), ("no JSON", eur), (side("MAD", None), eur), (mad, None)]
+    facts = spark.createDataFrame([(str(n), headers, "{}", *s) for n, s in enumerate(sides)], QUOTE_FACT_COLUMNS)
+    assert [r["quoteId"] for r in rules.intercepts_by_account(facts).collect()] == ["0"]
+
+
 def test_every_rule_fires_on_the_derived_facts(ledger, spark):
     events = rules.quote_events(ledger["quoteFacts"]).select("ruleNo").distinct().count()
     assert events >= 25  # All 29 at a tenth of the smallest benchmark size.
