@@ -17,13 +17,17 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 @contextmanager
-def stream_settings(spark: SparkSession) -> Iterator[None]:
+def stream_settings(spark: SparkSession, count_state: bool = True) -> Iterator[None]:
     """State in RocksDB, outside the heap.
 
     A stateful query keeps the number of state partitions it starts with, which is
-    the session's number of shuffle partitions.
+    the session's number of shuffle partitions. Counting the rows of the state, which only the
+    stream's progress reports show, costs a look-up for each row written.
     """
-    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": str(count_state).lower(),
+    }
     before = {key: spark.conf.get(key, None) for key in wanted}
     try:
         for key, value in wanted.items():
@@ -38,7 +42,7 @@ def run_appending(stream: DataFrame, name: str) -> DataFrame:
     """Run an append-mode stream over all available input and read its output."""
     spark = stream.sparkSession
     folder = run_folder(spark, f"stream-{name}")
-    with stream_settings(spark):
+    with stream_settings(spark, count_state=False):
         query = (
             stream.writeStream.format("parquet")
             .outputMode("append")
@@ -62,7 +66,7 @@ def run_updating(stream: DataFrame, name: str, key: str, newest_by: str | None =
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/output/batch={number}")
 
-    with stream_settings(spark):
+    with stream_settings(spark, count_state=False):
         query = (
             stream.writeStream.foreachBatch(write)
             .outputMode("update")

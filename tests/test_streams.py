@@ -1,12 +1,14 @@
 """Streams against their batch twins, over several files and batches."""
 
 import os
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from clearbook.operators import rules, settlement, states
+from clearbook.session import run_folder
 from clearbook.sources.schemas import LEDGER_COLUMNS, QUOTE_FACT_COLUMNS
 from clearbook.streaming import runs, streams
 
@@ -81,6 +83,27 @@ def test_settings_are_restored(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
+def test_runs_do_not_count_their_state(spark, monkeypatch):
+    key, seen = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", []
+    plain = runs.stream_settings
+
+    @contextmanager
+    def watched(*args, **kwargs):
+        with plain(*args, **kwargs):
+            seen.append(spark.conf.get(key))
+            yield
+
+    monkeypatch.setattr(runs, "stream_settings", watched)
+    before = spark.conf.get(key, None)
+    path = run_folder(spark, "uncounted")
+    spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 3, "c")], "k INT, n INT, v STRING").write.parquet(path)
+    changes = streams.parquet_stream(spark, path, "k INT, n INT, v STRING")
+    latest = runs.run_updating(streams.latest_state_stream(changes, "k", "n", ["v"]), "uncounted", "k")
+    same = runs.run_appending(changes, "uncounted-rows")
+    assert sorted(map(tuple, latest.collect())) == [(1, "b"), (2, "c")] and same.count() == 3
+    assert seen == ["false", "false"] and spark.conf.get(key, None) == before
+
+
 @pytest.mark.parametrize("zone", ["UTC", "Europe/Paris", "America/New_York"])
 def test_instants_are_exact_where_clocks_change(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
