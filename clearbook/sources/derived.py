@@ -34,8 +34,9 @@ ZONE_CURRENCIES = ["XOF", "XTS", "XXX", "EUR", "MAD"]
 # Last settlement window that is still open, as year * 12 + month.
 OPEN_WINDOW = 2001 * 12 + 6
 
-BYTES_PER_BUCKET = 2 << 30
-FEWEST_BUCKETS = 8
+# Input bytes for each bucket: what a task sorts or merges then stays a few hundred megabytes at any size of input.
+BYTES_PER_BUCKET = 16 << 20
+FEWEST_BUCKETS, MOST_BUCKETS = 8, 4096
 
 
 def _currency(zone: str) -> Column:
@@ -262,8 +263,11 @@ STORED: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
     "transferStateChange": (_transfer_state_change, "transferId"),
     "transferError": (_transfer_error, "transferId"),
     "transferFulfilment": (_transfer_fulfilment, "transferId"),
-    "quoteFacts": (quote_facts, "quoteId"),
 }
+# Order-sized tables that are only scanned, and the column of the legs that deals their rows: they need no order.
+# Their files are small in bytes but take long to evaluate, so there are several for each bucket of the others.
+SCANNED: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {"quoteFacts": (quote_facts, "quoteId")}
+SCANNED_FILES_PER_BUCKET = 4
 
 # What lies in folders of its own: rows by the period of their payment, quotes by that in which
 # they were made, fulfilments also by their settlement window. Quotes are sorted by time in a file.
@@ -325,7 +329,7 @@ class DerivedLedger(Mapping[str, DataFrame]):
         input_bytes = sum(
             _input_size(spark, f"{self.sf_dir}/{t}.parquet")[0] for t in ("orders", "lineitem", "customer", "supplier")
         )
-        self.buckets = max(FEWEST_BUCKETS, input_bytes // BYTES_PER_BUCKET)
+        self.buckets = min(MOST_BUCKETS, max(FEWEST_BUCKETS, input_bytes // BYTES_PER_BUCKET))
         self.unit = unit or ("year" if input_bytes <= BYTES_BY_YEAR else "month" if input_bytes <= BYTES_BY_MONTH else "day")
         self._built: dict[str, DataFrame] = {}
         self._tables: list[str] = []
@@ -342,6 +346,10 @@ class DerivedLedger(Mapping[str, DataFrame]):
         if name not in self._built:
             if name in STORED:
                 self._built[name] = self._store(name)
+            elif name in SCANNED:
+                derive, key = SCANNED[name]
+                dealt = self.legs.repartition(self.buckets * SCANNED_FILES_PER_BUCKET, key)
+                self._built[name] = self._store_small(name, derive(dealt))
             elif name in LOOKUPS:
                 self._built[name] = literal_table(self.spark, LEDGER_COLUMNS[name], LOOKUPS[name])
             elif name in LEDGER_COLUMNS:
@@ -358,13 +366,17 @@ class DerivedLedger(Mapping[str, DataFrame]):
         return len(LEDGER_COLUMNS)
 
     def prepare(self) -> None:
-        """Write every stored table now, a few at a time so their small stages overlap."""
-        self.legs, self.windows
-        with ThreadPoolExecutor(4) as pool:
-            list(pool.map(self.__getitem__, [*STORED, "settlementSettlementWindow"]))
+        """Write every stored table now."""
+        self._store_together([*STORED, *SCANNED])
         for name in self:
             self[name]
 
+    def _store_together(self, names: list[str]) -> None:
+        """Write tables a few at a time so their small stages overlap."""
+        self.legs, self.windows
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(self.__getitem__, [*names, "settlementSettlementWindow"]))
+
     def path(self, name: str) -> str:
         """Folder of a stored table, for readers that take a path (streams)."""
         self[name]
@@ -385,8 +397,10 @@ class DerivedLedger(Mapping[str, DataFrame]):
     def _store(self, name: str) -> DataFrame:
         derive, key = STORED[name]
         table = f"clearbook_{self.folder.rsplit('-', 1)[1]}_{name}"
-        rows = derive(self.legs)
-        writer = rows.repartition(self.buckets, key).write.mode("overwrite").format("parquet")
+        # Legs are dealt before rows are derived from them where they have the key: one leg is narrower than its rows.
+        dealt = key in self.legs.columns
+        rows = derive(self.legs.repartition(self.buckets, key) if dealt else self.legs)
+        writer = (rows if dealt else rows.repartition(self.buckets, key)).write.mode("overwrite").format("parquet")
         places = PARTITIONED.get(name, ["period"] if "period" in rows.columns else [])
         if places:
             writer = writer.partitionBy(*places)
@@ -405,6 +419,7 @@ class DerivedLedger(Mapping[str, DataFrame]):
         for namespace in {base, *others.values()} - set(self._namespaces):
             self.spark.sql(f"CREATE DATABASE {namespace} LOCATION '{self.folder}/{namespace}'")
             self._namespaces.append(namespace)
+        self._store_together([*STORED])
         for name in self:
             view = f"{others.get(name, base)}.{name}"
             if view not in self._views:

@@ -1,9 +1,11 @@
 import os
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from clearbook.plans import reports
 from clearbook.session import run_folder, shared_folder
+from clearbook.sources import derived
 from clearbook.sources import ledger as sources
 from clearbook.sources.derived import DerivedLedger, derived_ledger
 from clearbook.sources.schemas import LEDGER_COLUMNS, ledger_schema
@@ -45,6 +47,31 @@ def test_quotes_of_a_bucket_lie_in_order_of_time(spark, ledger):
         assert times == sorted(times)
 
 
+def test_buckets_follow_the_input(spark, sf_dir, monkeypatch):
+    """A bucket, which one task sorts and merges, is not larger on six times the input."""
+    found = []
+    for size in (1 << 30, 6 << 30):
+        monkeypatch.setattr(derived, "_input_size", lambda *_, size=size: (size // 4, 0))
+        found.append(DerivedLedger(spark, sf_dir).buckets)
+    assert found[1] == 6 * found[0]
+
+
+def test_legs_are_dealt_before_they_give_rows(spark, ledger, monkeypatch):
+    """A leg moves once for the two parties of its quote; the rows lie where they did."""
+    moved, plain = [], DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda df, *a: moved.append((a[1], df.columns)) or plain(df, *a))
+    own = DerivedLedger(spark, ledger.sf_dir)
+    columns = own.legs.columns
+    assert own["quoteParty"].exceptAll(ledger["quoteParty"]).isEmpty() and own["quoteParty"].count() == ledger["quoteParty"].count()
+    own.close()
+    assert moved == [("quoteId", columns)]
+
+
+def test_scanned_facts_lie_in_more_files_than_buckets(ledger):
+    files = [f for f in os.listdir(ledger.path("quoteFacts")) if f.endswith(".parquet")]
+    assert len(files) > ledger.buckets
+
+
 def test_a_closed_ledger_leaves_nothing(spark, sf_dir):
     def registered():
         return {t.name for t in spark.catalog.listTables()}
