@@ -47,11 +47,12 @@ WORD_PIECES = [
 BLOCK_SCHEMA = "part int, block long, part_start long, n_docs long, n_ids long, payload binary"
 
 
-def _shown_bytes() -> dict[int, str]:
+def _shown_bytes() -> str:
     """The published way to write bytes as characters: those with a sign of their own as it, the others from U+0100 on."""
     signs = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = [byte for byte in range(256) if byte not in signs]
-    return {byte: chr(256 + k) for k, byte in enumerate(others)}
+    shown = {byte: chr(256 + k) for k, byte in enumerate(others)}
+    return "".join(shown.get(byte) or chr(byte) for byte in range(256))
 
 
 SHOWN = _shown_bytes()
@@ -81,18 +82,21 @@ class ChunkEncoder:
         self._chunks = Recent(self._learn, most_kept)
 
     def _learn(self, chunk: bytes) -> bytes:
-        word = chunk.rstrip(SIGNS) if self._model is not None else b""
-        if word.isalpha():
-            name = word.decode("ascii")
-        else:
+        if self._model is not None:
+            if chunk.isalpha() and chunk.islower():  # ASCII letters alone, which are shown as they are
+                return self._word(chunk.decode("ascii"))
+            word = chunk.rstrip(SIGNS)
+            if word.isalpha():
+                return self._chunks[word] + self._chunks[chunk[len(word) :]] if len(word) < len(chunk) else self._chunks[word.lower()]
             name = word.decode("utf-8", "replace")
-            if not name.isalpha() or max(name) >= LATIN_END or name != name.lower():
-                return _packed(self._tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        if len(word) < len(chunk):
-            return self._chunks[word] + self._chunks[chunk[len(word) :]]
-        if not name.islower():
-            return self._chunks[word.lower()]
-        return _packed([token.id for token in self._model.tokenize(word.decode("latin-1").translate(SHOWN))])
+            if name.isalpha() and max(name) < LATIN_END and name == name.lower():
+                if len(word) < len(chunk):
+                    return self._chunks[word] + self._chunks[chunk[len(word) :]]
+                return self._word(word.decode("latin-1").translate(SHOWN))
+        return _packed(self._tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids)
+
+    def _word(self, shown: str) -> bytes:
+        return _packed([token.id for token in self._model.tokenize(shown)])
 
     def encode(self, text: bytes) -> np.ndarray:
         """The ids of a text, without special tokens and with the end id."""

@@ -288,6 +288,14 @@ def test_chunks_equal_the_library(most_kept):
         assert encoder.encode(text.encode()).tolist() == ids, text
 
 
+def test_plain_words_go_to_the_model_as_they_are(monkeypatch):
+    library, encoder = Tokenizer.from_file(WORD_TOKENIZER), token_store.ChunkEncoder(WORD_TOKENIZER)
+    text = "unthinkably plain, Words"
+    expected = [*library.encode(text, add_special_tokens=False).ids, token_store.END_ID]
+    monkeypatch.setattr(token_store, "SHOWN", None)
+    assert encoder.encode(text.encode()).tolist() == expected
+
+
 def test_grammar_round_trip_and_random_access():
     rng = np.random.default_rng(2)
     ids = rng.choice([5, 6, 7, 300, token_store.END_ID], 6000, p=[0.4, 0.3, 0.1, 0.1, 0.1]).astype("<u4")
