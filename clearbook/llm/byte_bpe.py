@@ -21,6 +21,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -31,6 +32,9 @@ LONG_TEXT = 1 << 20
 # Fixed value: the splitting pattern published with the vocabulary of 50,257 ids.
 SPACE_LED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NEVER = 1 << 62
+LATIN_END = "\u0250"  # below it what is a letter is the same in every version of Unicode
+# Signs that SPACE_LED takes together behind a word: all ASCII ones but the apostrophe.
+SIGNS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,6 +55,8 @@ class MergeTransducer:
         self.ranks = ranks
         self.most_steps = most_steps
         self._bytes = {rank: token for token, rank in ranks.items()}
+        self._sizes = {rank: len(token) for token, rank in ranks.items()}
+        self._ids = {rank: rank.to_bytes(4, "little") for rank in ranks.values()}
         self._next: dict[int, int] = {}  # trie: node << 8 | byte -> node
         self._token = [-1]
         self._leaf = [True]
@@ -77,6 +83,7 @@ class MergeTransducer:
         self._state_of = {self._threads[0]: 0}
         self._last = [b""]
         self._step: dict[int, tuple[int, bytes]] = {}
+        self._opened: dict[int, tuple[int, list[int]]] = {}
 
     def _link_suffixes(self) -> None:
         """For each node that of its longest proper suffix, and the longest token that ends there."""
@@ -179,59 +186,80 @@ class MergeTransducer:
         known = self._step[state << 8 | byte] = (to, _packed(ended[1:sure]))
         return known
 
+    def _open(self, state: int) -> tuple[int, list[int]]:
+        """The node of the longest open start of a state, and by position the last token up to it, from the last one emitted on.
+
+        Positions that no way passes are never looked up.
+        """
+        known = self._opened.get(state)
+        if known is None:
+            ends: dict[int, int] = {}
+            for _, path in self._threads[state]:
+                ends[0], at = path[0], 0
+                for token in path[1:]:
+                    at += self._sizes[token]
+                    ends[at] = token
+            known = self._threads[state][0][0], [ends.get(at, -1) for at in range(max(ends) + 1)]
+            self._opened[state] = known
+        return known
+
     def _follow(self, state: int, rest: bytes) -> bytes:
         """The tokens of the rest of a piece, without further states: one walk over the nodes of the trie.
 
         The starts that are open after some bytes are the suffixes of them that lie in the trie. So the
-        node of the longest, with the links to shorter ones, stands for all of them.
+        node of the longest, with the links to shorter ones, stands for all of them. The last token up to
+        a position is looked for only where a token that may follow it asks for it.
         """
-        following, fallback, ending, pairs = self._next.get, self._fallback, self._ending, self._pairs.get
-        deepest = self._threads[state][0][0]
-        before = self._depth[deepest]
-        chains: list[tuple | None] = [None] * (before + 1)  # by position: the tokens up to it, last one first
-        for node, path in self._threads[state]:
-            chain: tuple = ()
-            for token in path:
-                chain = (token, chain)
-            chains[before - self._depth[node]] = chain
-        node = deepest
-        for at, byte in enumerate(rest, before + 1):
+        following, fallback, ending, shorter = self._next.get, self._fallback, self._ending, self._shorter
+        node, known = self._open(state)
+        ends: list[int | None] = [*known, *[None] * len(rest)]
+        asked: list[tuple[int, int]] = [(-1, 0)] * len(known)  # by position: the longest token left that may end there
+        for byte in rest:
             child = following(node << 8 | byte)
             while child is None and node:
                 node = fallback[node]
                 child = following(node << 8 | byte)
             node = child or 0
-            token, length = ending[node]
-            while True:
-                if token < 0:
-                    raise ValueError(f"byte {byte} is no token of the vocabulary")
-                chain = chains[at - length]
-                fits = pairs(chain[0] << 32 | token)
-                if self._compatible(chain[0], token) if fits is None else fits:
-                    break
-                token, length = self._shorter[token]
-            chains.append((token, chain))
-        found, chain = [], chains[-1]
-        while chain[1]:  # the last in the chain is the token that was emitted before
-            found.append(chain[0])
-            chain = chain[1]
-        return _packed(found[::-1])
+            asked.append(ending[node])
+        open_, pairs = [len(ends) - 1], self._pairs.get
+        while open_:
+            at = open_[-1]
+            token, length = asked[at]
+            if token < 0:
+                raise ValueError(f"byte {rest[at - len(ends)]} is no token of the vocabulary")
+            before = ends[at - length]
+            if before is None:
+                open_.append(at - length)
+                continue
+            fits = pairs(before << 32 | token)
+            if self._compatible(before, token) if fits is None else fits:
+                ends[at] = token
+                open_.pop()
+            else:
+                asked[at] = shorter[token]
+        found, at, ids, sizes = [], len(ends) - 1, self._ids, self._sizes
+        while at:
+            token = ends[at]
+            found.append(ids[token])
+            at -= sizes[token]
+        found.reverse()
+        return b"".join(found)
 
     def encode(self, piece: bytes) -> bytes:
         whole = self.ranks.get(piece)
         if whole is not None:
             return whole.to_bytes(4, "little")
-        state, out, step = 0, [], self._step
+        state, out, step = 0, [], self._step.get
         for i, byte in enumerate(piece):
-            known = step.get(state << 8 | byte)
+            known = step(state << 8 | byte)
             if known is None:
-                if len(step) >= self.most_steps:
+                if len(self._step) >= self.most_steps:
                     out.append(self._follow(state, piece[i:]))
                     return b"".join(out)
                 known = self._make_step(state, byte)
-            state = known[0]
-            if known[1]:
-                out.append(known[1])
+            state, ids = known
+            if ids:
+                out.append(ids)
         out.append(self._last[state])
         return b"".join(out)
 
@@ -275,11 +303,24 @@ class TextEncoder:
         self._split = regex.compile(pattern)
         self._space = re.compile(r" (?=\s|\Z)")
         self._pieces = Recent(lambda piece: self.transducer.encode(piece.encode("utf-8")), most_kept)
-        self._cuts = Recent(self._cut_ids, most_kept)
+        self._cuts = Recent(self._cut_ids, 2 * most_kept)
 
     def _cut_ids(self, cut: str) -> bytes:
-        # A space and letters are one match of this pattern.
-        return self._pieces[f" {cut}"] if cut.isascii() and cut.isalpha() else self._matches(f" {cut}")
+        # What the pattern does to a space and letters (one match), signs behind them (another), and a line's end between words.
+        if cut.isalpha() and max(cut) < LATIN_END:
+            return self.transducer.encode(f" {cut}".encode())
+        word = cut.rstrip(SIGNS)
+        if len(word) < len(cut) and word.isalpha() and max(word) < LATIN_END:
+            return self._cuts[word] + self._pieces[cut[len(word) :]]
+        head, _, tail = cut.partition("\n")
+        if head and tail and not head[-1].isspace() and not tail[0].isspace():
+            return self._cuts[head] + self._pieces["\n"] + self._line_ids(tail)
+        return self._matches(f" {cut}")
+
+    def _line_ids(self, cut: str) -> bytes:
+        if cut.isalpha() and max(cut) < LATIN_END:
+            return self._pieces[cut]
+        return self._matches(cut)
 
     def _matches(self, text: str) -> bytes:
         if len(text) > LONG_TEXT:
@@ -309,11 +350,11 @@ class Utf8Stream:
         return self._machine.decode(b"", final=True)
 
 
-def decode_ids(ids: bytes, tokens: list[bytes], chunk_ids: int = 1 << 16) -> Iterator[str]:
-    """The text of little-endian ids, chunk by chunk."""
-    stream, numbers = Utf8Stream(), memoryview(ids).cast("I")
+def decode_ids(ids: bytes, tokens: np.ndarray, chunk_ids: int = 1 << 16) -> Iterator[str]:
+    """The text of little-endian ids, chunk by chunk; ``tokens`` holds the bytes of each id."""
+    stream, numbers = Utf8Stream(), np.frombuffer(ids, dtype="<u4")
     for start in range(0, len(numbers), chunk_ids):
-        yield stream.feed(b"".join(map(tokens.__getitem__, numbers[start : start + chunk_ids])))
+        yield stream.feed(b"".join(tokens[numbers[start : start + chunk_ids]].tolist()))
     yield stream.finish()
 
 
@@ -351,8 +392,8 @@ def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return wanted.mapInArrow(decode, "doc_id long, ids binary, n_tokens long, text string")
 
 
-def _by_rank(ranks: dict[bytes, int]) -> list[bytes]:
-    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+def _by_rank(ranks: dict[bytes, int]) -> np.ndarray:
+    tokens = np.full(max(ranks.values(), default=-1) + 1, b"", dtype=object)
     for token, rank in ranks.items():
         tokens[rank] = token
     return tokens
@@ -364,7 +405,7 @@ def round_trip(
     """What ``decode_documents`` gives for ``encode_documents``, in one Python step: half the workers, half the transfers."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def make() -> tuple[TextEncoder, list[bytes]]:
+        def make() -> tuple[TextEncoder, np.ndarray]:
             ranks = read_ranks(ranks_path)
             return TextEncoder(ranks, pattern), _by_rank(ranks)
 
@@ -388,7 +429,7 @@ def round_trip_digests(
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def make() -> tuple[TextEncoder, list[bytes]]:
+        def make() -> tuple[TextEncoder, np.ndarray]:
             ranks = read_ranks(ranks_path)
             return TextEncoder(ranks, pattern), _by_rank(ranks)
 

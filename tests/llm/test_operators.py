@@ -250,6 +250,30 @@ def test_transducer_goes_on_after_any_step(most_steps):
         assert np.frombuffer(transducer.encode(word.encode()), "<u4").tolist() == library.encode_ordinary(word), word
 
 
+def test_words_before_signs_and_lines_need_no_pattern(monkeypatch):
+    ranks = byte_bpe.read_ranks(BYTE_RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder, rng = byte_bpe.TextEncoder(ranks, public_tokenizers.PATTERN, most_kept=40), random.Random(11)
+    letters = "aabéÉßñİı'.,!#_-1²日\u0301\u00a0\t\n\n \u2028ªǅ"
+    odd = ["a.\nb", "a\n\nb", "a \nb", "a\n b", "a.\n", "x 's\nt", "it's\n'll", "a.'s\n.b", "x a\u00a0\nb", "\nA b\n", "dʰ. ʰ\nʰ", "a b\r\nc"]
+    for text in odd + ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(3000)]:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode_ordinary(text), text
+    plain = [" Wörter.", " Wörter,###", " noch.\nEiner", " ñandúes"]
+    expected = [library.encode_ordinary(text) for text in plain]
+    encoder = byte_bpe.TextEncoder(ranks, public_tokenizers.PATTERN)
+    monkeypatch.setattr(encoder, "_matches", lambda text: b"" if not text else pytest.fail(f"{text!r} went through the pattern"))
+    assert [np.frombuffer(encoder.encode(text), "<u4").tolist() for text in plain] == expected
+
+
+def test_last_tokens_are_looked_for_where_asked(monkeypatch):
+    ranks = byte_bpe.read_ranks(BYTE_RANKS)
+    transducer, asked = byte_bpe.MergeTransducer(ranks, most_steps=0), []
+    monkeypatch.setattr(transducer, "_boundary_stays", lambda left, right: not asked.append((left, right)))
+    word = "internationalization"
+    transducer.encode(f" {word}".encode())
+    assert len(asked) < len(word) // 2
+
+
 def test_utf8_stream_cut_anywhere():
     data = "aé日😀".encode() + b"\xff\xe6"
     for cut in range(len(data)):
