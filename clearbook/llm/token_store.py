@@ -19,6 +19,7 @@ import json
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from clearbook.llm.tables import DOC_ID, TEXT, id_and_text, once_per_worker
 
 MAGIC = b"IDRP"
 HEADER = struct.Struct("<4sIIIII")
+PACKERS = [struct.Struct(f"<{n}I").pack for n in range(64)]  # by number of ids
 END_ID = 1
 END = END_ID.to_bytes(4, "little")
 # Signs that a tokenizer with WORD_PIECES takes together behind a word: all ASCII ones but the apostrophe.
@@ -104,7 +106,7 @@ class ChunkEncoder:
 
 
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return PACKERS[len(ids)](*ids) if len(ids) < len(PACKERS) else struct.pack(f"<{len(ids)}I", *ids)
 
 
 def repair(ids: np.ndarray, base: int, least: int, per_round: int = 2048) -> tuple[np.ndarray, np.ndarray]:
@@ -158,16 +160,22 @@ def pack_block(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int], b
     rules, sequence = repair(ids, base, least)
     width = 2 if base + len(rules) <= 1 << 16 else 4
     symbol = f"<u{width}"
-    sizes = np.ones(base + len(rules), dtype=np.uint32)
-    for k, (left, right) in enumerate(rules.tolist()):
-        sizes[base + k] = sizes[left] + sizes[right]
+    sizes = [1] * base
+    for left, right in rules.tolist():
+        sizes.append(sizes[left] + sizes[right])
     head = HEADER.pack(MAGIC, base, len(rules), len(sequence), len(doc_ids), width)
     numbers = np.array([x or 0 for x in doc_ids], dtype="<i8")
     nulls = np.array([x is None for x in doc_ids], dtype="u1")
-    parts = (rules.astype(symbol), sizes[base:].astype("<u4"), sequence.astype(symbol), numbers, nulls)
+    parts = (rules.astype(symbol), np.array(sizes[base:], dtype="<u4"), sequence.astype(symbol), numbers, nulls)
     return b"".join([head, *(x.tobytes() for x in parts), np.array(lengths, dtype="<u4").tobytes()])
 
 
+@lru_cache(maxsize=1)
+def _single_ids(base: int) -> list[bytes]:
+    ids = np.arange(base, dtype="<u4").tobytes()
+    return [ids[at : at + 4] for at in range(0, len(ids), 4)]
+
+
 class Block:
     """A packed block, read."""
 
@@ -191,20 +199,13 @@ class Block:
         self.lengths = take("<u4", n_docs).astype(np.int64)
         self.sizes = np.concatenate([np.ones(self.base, dtype=np.int64), self.rule_sizes.astype(np.int64)])
         self.ends = np.cumsum(self.sizes[self.sequence])
-        self._rule_starts = np.concatenate([[0], np.cumsum(self.rule_sizes)]).astype(np.int64)
-        flat = np.empty(int(self._rule_starts[-1]), dtype="<u4")
-        for k, (left, right) in enumerate(self.rules.tolist()):
-            place = int(self._rule_starts[k])
-            for symbol in (left, right):
-                if symbol < self.base:
-                    flat[place] = symbol
-                    place += 1
-                else:
-                    a, b = self._rule_starts[symbol - self.base], self._rule_starts[symbol - self.base + 1]
-                    flat[place : place + b - a] = flat[a:b]
-                    place += b - a
+        rule_starts = np.concatenate([[0], np.cumsum(self.rule_sizes)]).astype(np.int64)
+        spelled = list(_single_ids(self.base))
+        for left, right in self.rules.tolist():
+            spelled.append(spelled[left] + spelled[right])
+        flat = np.frombuffer(b"".join(spelled[self.base :]), dtype="<u4")
         self._table = np.concatenate([np.arange(self.base, dtype="<u4"), flat])
-        self._table_starts = np.concatenate([np.arange(self.base), self.base + self._rule_starts[:-1]])
+        self._table_starts = np.concatenate([np.arange(self.base), self.base + rule_starts[:-1]])
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
         sizes = self.sizes[symbols]
